@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import arrow_output, media, mixing
+from . import arrow_output, bpe, media, mixing
 from .shared import documents
 
 
@@ -17,6 +17,10 @@ def word_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_documents(documents(spark, sf_dir), word_vocabulary())
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
 
@@ -30,6 +34,7 @@ def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_bpe": op1_bpe,
     "op6_mixing": op6_mixing,
     "op7_arrow_tokens": op7_arrow_tokens,
     "op8_media": op8_media,
