@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import arrow_output, bpe, media, mixing
+from . import arrow_output, bpe, media, mixing, toxicity
 from .shared import documents
 
 
@@ -33,11 +33,16 @@ def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_columns(documents(spark, sf_dir)).drop("digest", "shard", "offset", "length")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op6_mixing": op6_mixing,
     "op7_arrow_tokens": op7_arrow_tokens,
     "op8_media": op8_media,
+    "op10_toxicity": op10_toxicity,
 }
 
 OP6_SQL = r"""
