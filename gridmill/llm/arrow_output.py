@@ -19,7 +19,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .chunks import LibraryEncoder
+from .chunks import LibraryEncoder, worker_state
 from .shared import new_path, open_fs, stash
 
 
@@ -119,7 +119,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = 2, length: int =
         import pyarrow as pa
         from pyspark import TaskContext
 
-        codec, writer, sink = LibraryEncoder(tokenizer), None, None
+        codec, writer, sink = worker_state(("library", tokenizer), lambda: LibraryEncoder(tokenizer)), None, None
         part, uri = TaskContext.get().partitionId(), f"{folder}/part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.arrows"
         end = np.array([end_id], codec.dtype).tobytes()
         for batch in batches:
@@ -130,8 +130,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = 2, length: int =
                 fs.create_dir(path.rpartition("/")[0], recursive=True)
                 sink = fs.open_output_stream(path)
                 writer = SequenceWriter(sink, codec.dtype, length, rows)
-            for lo in range(0, batch.num_rows, 2000):
-                piece = batch.slice(lo, 2000)
+            for lo in range(0, batch.num_rows, 4000):
+                piece = batch.slice(lo, 4000)
                 packed = [np.frombuffer(x + end, codec.dtype) for x in codec.encode(piece.column(1).to_pylist())]
                 at = [writer.add(x) for x in packed]
                 n = piece.num_rows

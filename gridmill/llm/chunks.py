@@ -21,13 +21,38 @@ def chunks(text: str | None) -> list[str]:
     return text.split()
 
 
+def core(chunk: str) -> tuple[str, str]:
+    """(word, mark): a chunk whose ids are those of ``word`` and then those of ``mark``.
+
+    A last full stop or comma is a symbol of its own after a letter or number, and below U+0130 lower case
+    is taken character by character; so many chunks share a word.  All others stay as they are.
+    """
+    if "<" in chunk or max(chunk) >= "\u0130":
+        return chunk, ""
+    if chunk[-1] in ".," and len(chunk) > 1 and chunk[-2].isalnum():
+        return chunk[:-1].lower(), chunk[-1]
+    return chunk.lower(), ""
+
+
+def worker_state(key: tuple, make):
+    """An object kept for all tasks of a Python worker."""
+    import sys
+    import types
+
+    held = sys.modules.setdefault("gridmill_worker_state", types.ModuleType("gridmill_worker_state"))
+    if key not in vars(held):
+        vars(held)[key] = make()
+    return vars(held)[key]
+
+
 class LibraryEncoder:
-    """Ids of whole texts by the tokenizers library, one call for each distinct unseen chunk.
+    """Ids of whole texts by the tokenizers library, one call for many distinct unseen chunks.
 
-    ``most`` bounds the remembered chunks, and with them the memory; the memo starts afresh beyond it.
+    The memo has two halves: when the younger is full it becomes the older, whose unused words go.  So
+    frequent words stay and ``most`` bounds the memory.
     """
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 150_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -37,24 +62,56 @@ class LibraryEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.wide = self.tokenizer.get_vocab_size(with_added_tokens=True) > 1 << 16
-        self.known: dict[str, bytes] = {}
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.most = most
 
     @property
     def dtype(self) -> str:
         return "<u4" if self.wide else "<u2"
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Packed little-endian ids of each text."""
+    def _library(self, words: list[str]) -> list[bytes]:
+        """Packed ids of distinct words; words that can't be parted by a special token go one by one."""
         import numpy as np
 
+        if not self.special:
+            return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        mark = self.special[-1]
+        mark_id = self.tokenizer.token_to_id(mark)
+        out: dict[str, bytes] = {}
+        # A chunk with a part of a special token could make one together with the mark.
+        apart = [w for w in words if "<" in w or ">" in w or "|" in w]
+        joined = [w for w in words if not ("<" in w or ">" in w or "|" in w)]
+        for w in apart:
+            out[w] = np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, self.dtype).tobytes()
+        for at in range(0, len(joined), 1000):
+            part = joined[at : at + 1000]
+            ids = np.array(self.tokenizer.encode_batch_fast([mark.join(part)], add_special_tokens=False)[0].ids, self.dtype)
+            ends = np.flatnonzero(ids == mark_id)
+            data, size = ids.tobytes(), ids.itemsize
+            lo = [0, *((ends + 1) * size).tolist()]
+            hi = [*(ends * size).tolist(), len(data)]
+            out.update(zip(part, [data[a:b] for a, b in zip(lo, hi, strict=True)], strict=True))
+        return [out[w] for w in words]
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Packed little-endian ids of each text."""
         split = [chunks(t) for t in texts]
-        if len(self.known) > self.most:
-            self.known.clear()
-        known = self.known
-        new = list(set().union(*split).difference(known)) if split else []
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            for word, enc in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                known[word] = np.array(enc.ids, self.dtype).tobytes()
-        return [b"".join(map(known.__getitem__, x)) for x in split]
+        parts = {c: core(c) for c in set().union(*split)}
+        words = {w for w, _ in parts.values()} | {m for _, m in parts.values() if m}
+        if len(self.young) > self.most:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        new = []
+        for w in words:
+            if w not in young:
+                if w in old:
+                    young[w] = old[w]
+                else:
+                    new.append(w)
+        known = dict(zip(new, self._library(new), strict=True))
+        young.update(known)
+        young[""] = b""
+        ids = {c: young[w] + young[m] if m else young[w] for c, (w, m) in parts.items()}
+        return [b"".join(map(ids.__getitem__, x)) for x in split]
