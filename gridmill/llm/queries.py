@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import arrow_output, bpe, media, mixing, topk, toxicity
+from . import arrow_output, bpe, language, line_dedup, media, mixing, topk, toxicity
 from .shared import documents
 
 
@@ -21,10 +21,18 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(documents(spark, sf_dir), word_vocabulary())
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(documents(spark, sf_dir))
+
+
 def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(documents(spark, sf_dir))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
 
@@ -43,7 +51,9 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op3_language_id": op3_language_id,
     "op4_topk": op4_topk,
+    "op5_line_dedup": op5_line_dedup,
     "op6_mixing": op6_mixing,
     "op7_arrow_tokens": op7_arrow_tokens,
     "op8_media": op8_media,
@@ -94,4 +104,26 @@ WITH v AS (
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
-ORACLE: dict[str, str] = {"op4_topk": OP4_SQL, "op6_mixing": OP6_SQL}
+OP5_SQL = r"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents WHERE text IS NOT NULL
+), f AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS s, len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) >= 50 AS long
+  FROM l WHERE NOT regexp_full_match(x, '[\x09-\x0D\x20]*')
+), w AS (
+  SELECT doc_id, i, i AS j, x, NULL AS y FROM f WHERE long
+  UNION ALL SELECT a.doc_id, a.i, b.i, a.x, b.x FROM f a JOIN f b ON a.doc_id = b.doc_id AND b.s = a.s + 1
+), g AS (
+  SELECT *, row_number() OVER (PARTITION BY x, y ORDER BY doc_id, i) AS k FROM w
+), d AS (
+  SELECT doc_id, i FROM g WHERE k > 1 UNION SELECT doc_id, j FROM g WHERE k > 1
+), t AS (
+  SELECT l.doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(count(d.i) AS BIGINT) AS n_removed,
+    coalesce(string_agg(CASE WHEN d.i IS NULL THEN x END, chr(10) ORDER BY l.i), '') AS kept
+  FROM l LEFT JOIN d ON l.doc_id = d.doc_id AND l.i = d.i GROUP BY l.doc_id
+)
+SELECT o.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents o LEFT JOIN t ON o.doc_id = t.doc_id
+"""
+
+ORACLE: dict[str, str] = {"op4_topk": OP4_SQL, "op5_line_dedup": OP5_SQL, "op6_mixing": OP6_SQL}
