@@ -145,8 +145,8 @@ def score(docs: DataFrame, labels: DataFrame, most_labels: int = 20_000, most_wo
         vars(models).update(sent.value)
         last = len(models.word) - 1
         for batch in batches:
-            for lo in range(0, batch.num_rows, 4000):
-                piece = batch.slice(lo, 4000)
+            for lo in range(0, batch.num_rows, 1500):
+                piece = batch.slice(lo, 1500)
                 split = [chunks(t) for t in piece.column(1).to_pylist()]
                 memo = {c: models.id.get(word_of(c), last) for c in set().union(*split)}
                 n = np.fromiter(map(len, split), np.int64, len(split))
