@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import arrow_output, bpe, language, line_dedup, media, mixing, topk, toxicity
+from . import arrow_output, bpe, jaccard, language, line_dedup, media, mixing, topk, toxicity
 from .shared import documents
 
 
@@ -45,6 +45,10 @@ def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_columns(documents(spark, sf_dir)).drop("digest", "shard", "offset", "length")
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join_documents(documents(spark, sf_dir))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -57,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_mixing": op6_mixing,
     "op7_arrow_tokens": op7_arrow_tokens,
     "op8_media": op8_media,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_toxicity": op10_toxicity,
 }
 
