@@ -19,9 +19,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .automaton import Lexicon, build
-from .chunks import chunks
+from .chunks import chunks, core, worker_state
 from .shared import put_file
 
+SLICE = 1500  # documents of a batch that are held as words at a time
 LONG = 128  # bytes from which a word is merged on a heap
 
 
@@ -68,6 +69,8 @@ class WordBpe:
 
     def words(self, chunk: str) -> list[str]:
         """The pre-tokens of a chunk without white space; special tokens stay whole."""
+        if chunk.isalpha() and max(chunk) < "\u0130":
+            return [chunk.lower()]
         if self.cut is not None and "<" in chunk:
             out = []
             for part in self.cut.split(chunk):
@@ -220,16 +223,26 @@ def compile_lexicon(docs: DataFrame, tokenizer: str, most: int = 100_000) -> byt
     def count(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        bpe = WordBpe(tokenizer)
+        bpe, total = worker_state(("bpe", tokenizer), lambda: WordBpe(tokenizer)), Counter()
+
+        def out(total):
+            return pa.record_batch([pa.array(total.keys(), pa.string()), pa.array(total.values(), pa.int64())], names=["word", "n"])
+
         for batch in batches:
-            seen: Counter = Counter()
-            for text in batch.column(0).to_pylist():
-                seen.update(chunks(text))
-            total: Counter = Counter()
-            for chunk, n in seen.items():
-                for w in bpe.words(chunk):
-                    total[w] += n
-            yield pa.record_batch([pa.array(total.keys(), pa.string()), pa.array(total.values(), pa.int64())], names=["word", "n"])
+            for lo in range(0, batch.num_rows, SLICE):
+                seen: Counter = Counter()
+                for text in batch.slice(lo, SLICE).column(0).to_pylist():
+                    seen.update(chunks(text))
+                for chunk, n in seen.items():
+                    word, mark = core(chunk)
+                    for w in bpe.words(word):
+                        total[w] += n
+                    if mark:
+                        total[mark] += n
+                if len(total) > 200_000:
+                    yield out(total)
+                    total.clear()
+        yield out(total)
 
     counted = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(count, "word string, n long")
     top = counted.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most)
@@ -256,27 +269,30 @@ def encode_documents(docs: DataFrame, tokenizer: str, most: int = 100_000, texts
         import pyarrow as pa
         from pyspark import SparkFiles
 
-        bpe, lexicon = WordBpe(tokenizer), Lexicon(SparkFiles.get(name))
+        bpe, lexicon = worker_state(("bpe", tokenizer), lambda: WordBpe(tokenizer)), Lexicon(SparkFiles.get(name))
         for batch in batches:
-            for lo in range(0, batch.num_rows, 5000):
-                piece = batch.slice(lo, 5000)
+            for lo in range(0, batch.num_rows, SLICE):
+                piece = batch.slice(lo, SLICE)
                 split = [chunks(t) for t in piece.column(1).to_pylist()]
-                distinct = list(set().union(*split))
-                ids = bpe.encode_chunks(distinct, lexicon)
-                number = {c: " ".join(map(str, i)) for c, i in zip(distinct, ids, strict=True)}
-                back = {c: bpe.decode(i) for c, i in zip(distinct, ids, strict=True)}
-                count = {c: len(i) for c, i in zip(distinct, ids, strict=True)}
+                parts = {c: core(c) for c in set().union(*split)}
+                words = list({w for w, _ in parts.values()} | {m for _, m in parts.values() if m})
+                ids = dict(zip(words, bpe.encode_chunks(words, lexicon), strict=True))
+                number = {w: " ".join(map(str, i)) for w, i in ids.items()}
+                back = {w: bpe.decode(i) for w, i in ids.items()}
+                told = {c: f"{number[w]} {number[m]}" if m else number[w] for c, (w, m) in parts.items()}
+                read = {c: f"{back[w]} {back[m]}" if m else back[w] for c, (w, m) in parts.items()}
+                count = {c: len(ids[w]) + (len(ids[m]) if m else 0) for c, (w, m) in parts.items()}
                 n = [sum(map(count.__getitem__, s)) for s in split]
                 # A chunk may have no ids (none of its characters is a word or a symbol): no blank for it.
                 gaps = {c for c, k in count.items() if not k}
                 if gaps:
                     split = [[c for c in s if c not in gaps] for s in split]
-                told = [hashlib.sha256(" ".join(map(number.__getitem__, s)).encode()).hexdigest() for s in split]
-                decoded = [" ".join(map(back.__getitem__, s)) for s in split]
-                cols = [piece.column(0), pa.array(n, pa.int64()), pa.array(told), pa.array([hashlib.sha256(x.encode()).hexdigest() for x in decoded], pa.string())]
+                decoded = [" ".join(map(read.__getitem__, s)) for s in split]
+                sums = [hashlib.sha256(" ".join(map(told.__getitem__, s)).encode()).hexdigest() for s in split]
+                cols = [piece.column(0), pa.array(n, pa.int64()), pa.array(sums, pa.string()), pa.array([hashlib.sha256(x.encode()).hexdigest() for x in decoded], pa.string())]
                 names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
                 if texts:
-                    whole = dict(zip(distinct, ids, strict=True))
+                    whole = {c: ids[w] + (ids[m] if m else []) for c, (w, m) in parts.items()}
                     cols += [pa.array([[i for c in s for i in whole[c]] for s in split], pa.list_(pa.int32())), pa.array(decoded, pa.string())]
                     names += ["ids", "decoded"]
                 yield pa.record_batch(cols, names=names)
