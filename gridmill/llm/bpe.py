@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from .automaton import Lexicon, build
 from .chunks import chunks, core, worker_state
-from .shared import put_file
+from .shared import most_frequent, put_file, stash
 
 SLICE = 1500  # documents of a batch that are held as words at a time
 LONG = 128  # bytes from which a word is merged on a heap
@@ -214,9 +214,9 @@ class WordBpe:
 
 
 def compile_lexicon(docs: DataFrame, tokenizer: str, most: int = 100_000) -> bytes:
-    """Count the words of all texts and compile the ``most`` frequent ones.
+    """Count the words of all texts and compile at most the ``most`` frequent ones.
 
-    Batches are counted before the shuffle; ties go to the lesser word.  ``most`` bounds the file, which
+    Batches are counted before the shuffle.  ``most`` bounds the file, which
     goes to every executor, and the rows that reach the driver.
     """
 
@@ -245,7 +245,8 @@ def compile_lexicon(docs: DataFrame, tokenizer: str, most: int = 100_000) -> byt
         yield out(total)
 
     counted = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(count, "word string, n long")
-    top = counted.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most)
+    total = stash(counted.groupBy("word").agg(F.sum("n").alias("n")).filter("n > 1"), "words")
+    top = most_frequent(total, "n", most)
     bpe = WordBpe(tokenizer)
     words = [r.word for r in top.select("word").collect() if r.word not in bpe.special]
     return build(dict(zip(words, bpe.encode_words(words), strict=True)))

@@ -68,3 +68,20 @@ def open_fs(uri: str):
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def most_frequent(counts: DataFrame, n: str, most: int) -> DataFrame:
+    """At most ``most`` rows of ``counts``: those whose ``n`` reaches a bound that no sort has to find.
+
+    The bound comes from the number of rows of each value of ``n``; rows at the bound stay only if all do.
+    """
+    from pyspark.sql import functions as F
+
+    values = counts.groupBy(F.col(n).alias("v")).agg(F.count(F.lit(1)).alias("rows")).orderBy(F.desc("v")).limit(10_000).collect()
+    total, bound = 0, None
+    for r in values:
+        total += r.rows
+        if total > most:
+            break
+        bound = r.v
+    return counts.filter(F.lit(False) if bound is None else F.col(n) >= bound)

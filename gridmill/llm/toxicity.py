@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import chunks
-from .shared import stash
+from .shared import most_frequent, stash
 
 DISCOUNT = 2.0
 EXCESS = 3.0  # times its expected count that a word must exceed to be evidence
@@ -132,7 +132,7 @@ def score(docs: DataFrame, labels: DataFrame, most_labels: int = 20_000, most_wo
         *(F.count(F.when(F.col("kind") == k, 1)).alias(f"f{k}") for k in (0, 1)),
         F.sum(F.when(is_class, F.col("n"))).alias("seen"), F.coalesce(F.sum(F.when(F.col("kind") == 2, F.col("n"))), F.lit(0)).alias("corpus"),
     )
-    words = by_word.filter(F.col("seen") >= LEAST).orderBy(F.desc("seen"), "word").limit(most_words).collect()
+    words = most_frequent(stash(by_word.filter(F.col("seen") >= LEAST), "toxic-words"), "seen", most_words).orderBy("word").collect()
     whole = counts.agg(*(F.count(F.when(F.col("kind") == k, 1)).alias(f"t{k}") for k in (0, 1)), F.coalesce(F.sum(F.when(F.col("kind") == 2, F.col("n"))), F.lit(0)).alias("corpus")).first()
     models = Models([(w.word, w.f0, w.f1, w.corpus) for w in words], (whole.t0, whole.t1), whole.corpus)
     sent = spark.sparkContext.broadcast(vars(models))
