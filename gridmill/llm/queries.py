@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import arrow_output, bpe, jaccard, language, line_dedup, media, mixing, topk, toxicity
+from . import arrow_output, bpe, jaccard, language, line_dedup, media, mixing, suffix_dedup, topk, toxicity
 from .shared import documents
 
 
@@ -21,6 +21,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(documents(spark, sf_dir), word_vocabulary())
 
 
+def op2_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(documents(spark, sf_dir))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(documents(spark, sf_dir))
 
@@ -55,6 +59,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_suffix_array": op2_suffix_array,
     "op3_language_id": op3_language_id,
     "op4_topk": op4_topk,
     "op5_line_dedup": op5_line_dedup,
