@@ -263,7 +263,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, most: int = 100_000, texts
     import hashlib
 
     data = compile_lexicon(docs, tokenizer, most)
-    name = put_file(spark, data, f"lexicon-{hashlib.sha256(data).hexdigest()[:24]}.bin")
+    name = put_file(spark, data, "lexicon")
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>, decoded string" if texts else "")
 
     def encode(batches: Iterator) -> Iterator:

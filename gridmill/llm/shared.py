@@ -43,8 +43,9 @@ def stash(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(uri)
 
 
-def put_file(spark: SparkSession, data: bytes, name: str) -> str:
+def put_file(spark: SparkSession, data: bytes, label: str) -> str:
     """Write bytes to the shared folder and hand the file to every executor; returns its name there."""
+    name = f"{label}-{uuid.uuid4().hex}.bin"
     uri = new_path(spark, "file") + f"/{name}"
     path = spark._jvm.org.apache.hadoop.fs.Path(uri)
     out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
