@@ -46,72 +46,59 @@ def worker_state(key: tuple, make):
 
 
 class LibraryEncoder:
-    """Ids of whole texts by the tokenizers library, one call for many distinct unseen chunks.
+    """Ids of whole texts by the tokenizers library, one call for many distinct unseen words.
 
-    The memo has two halves: when the younger is full it becomes the older, whose unused words go.  So
-    frequent words stay and ``most`` bounds the memory.
+    The memo keeps chunks and words; beyond ``most`` of either only those of the last texts stay, so
+    frequent ones do and memory is bounded.
     """
 
-    def __init__(self, path: str, most: int = 150_000):
+    def __init__(self, path: str, most: int = 400_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import numpy as np
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.wide = self.tokenizer.get_vocab_size(with_added_tokens=True) > 1 << 16
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.tokenizer = t = Tokenizer.from_file(path)
+        t.no_truncation()
+        t.no_padding()
+        size = t.get_vocab_size(with_added_tokens=True)
+        self.dtype = "<u4" if size > 1 << 16 else "<u2"
+        suffix = getattr(t.model, "end_of_word_suffix", None)
+        # Ids that end a word: each of several words joined by blanks has one, its last.
+        self.last = np.array([bool(suffix) and (t.id_to_token(i) or "").endswith(suffix) for i in range(size)])
+        self.chunk: dict[str, bytes] = {}
+        self.word: dict[str, bytes] = {}
         self.most = most
 
-    @property
-    def dtype(self) -> str:
-        return "<u4" if self.wide else "<u2"
-
-    def _library(self, words: list[str]) -> list[bytes]:
-        """Packed ids of distinct words; words that can't be parted by a special token go one by one."""
+    def _library(self, words: list[str]) -> None:
+        """Packed ids of distinct words into the memo."""
         import numpy as np
 
-        if not self.special:
-            return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        mark = self.special[-1]
-        mark_id = self.tokenizer.token_to_id(mark)
-        out: dict[str, bytes] = {}
-        # A chunk with a part of a special token could make one together with the mark.
-        apart = [w for w in words if "<" in w or ">" in w or "|" in w]
-        joined = [w for w in words if not ("<" in w or ">" in w or "|" in w)]
-        for w in apart:
-            out[w] = np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, self.dtype).tobytes()
+        joined = [w for w in words if w.isalpha() and max(w) < "\u0130"] if self.last.any() else []
         for at in range(0, len(joined), 1000):
             part = joined[at : at + 1000]
-            ids = np.array(self.tokenizer.encode_batch_fast([mark.join(part)], add_special_tokens=False)[0].ids, self.dtype)
-            ends = np.flatnonzero(ids == mark_id)
-            data, size = ids.tobytes(), ids.itemsize
-            lo = [0, *((ends + 1) * size).tolist()]
-            hi = [*(ends * size).tolist(), len(data)]
-            out.update(zip(part, [data[a:b] for a, b in zip(lo, hi, strict=True)], strict=True))
-        return [out[w] for w in words]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, self.dtype)
+            ends = ((np.flatnonzero(self.last[ids]) + 1) * ids.itemsize).tolist()
+            data = ids.tobytes()
+            self.word.update(zip(part, [data[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)], strict=True))
+        rest = [w for w in words if w not in self.word]
+        for w, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+            self.word[w] = np.array(e.ids, self.dtype).tobytes()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Packed little-endian ids of each text."""
         split = [chunks(t) for t in texts]
-        parts = {c: core(c) for c in set().union(*split)}
-        words = {w for w, _ in parts.values()} | {m for _, m in parts.values() if m}
-        if len(self.young) > self.most:
-            self.old, self.young = self.young, {}
-        young, old = self.young, self.old
-        new = []
-        for w in words:
-            if w not in young:
-                if w in old:
-                    young[w] = old[w]
-                else:
-                    new.append(w)
-        known = dict(zip(new, self._library(new), strict=True))
-        young.update(known)
-        young[""] = b""
-        ids = {c: young[w] + young[m] if m else young[w] for c, (w, m) in parts.items()}
-        return [b"".join(map(ids.__getitem__, x)) for x in split]
+        own = set().union(*split)
+        chunk, word = self.chunk, self.word
+        parts = [(c, c, "") if c.isalpha() and c.islower() else (c, *core(c)) for c in own.difference(chunk)]
+        need = {w for _, w, _ in parts}
+        need.update(m for _, _, m in parts if m)
+        self._library([w for w in need if w not in word])
+        chunk.update([(c, word[w] + word[m] if m else word[w]) for c, w, m in parts])
+        out = [b"".join(map(chunk.__getitem__, x)) for x in split]
+        if len(chunk) > self.most:
+            self.chunk = {c: chunk[c] for c in own}
+        if len(word) > self.most:
+            self.word = {w: word[w] for w in need}
+        return out
