@@ -119,7 +119,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = 2, length: int =
         import pyarrow as pa
         from pyspark import TaskContext
 
-        codec, writer, sink = worker_state(("library", tokenizer), lambda: LibraryEncoder(tokenizer)), None, None
+        codec, writer, sink = worker_state("library", lambda: LibraryEncoder(tokenizer), tokenizer), None, None
         part, uri = TaskContext.get().partitionId(), f"{folder}/part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.arrows"
         end = np.array([end_id], codec.dtype).tobytes()
         for batch in batches:

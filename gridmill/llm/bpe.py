@@ -60,11 +60,25 @@ class WordBpe:
         right = np.array([self.vocab[b] for _, b in merges], np.int64)
         made = np.array([self.vocab[a + b] for a, b in merges], np.int64)
         key = left * self.size + right
-        order = np.argsort(key, kind="stable")
-        self.pair, self.rank, self.made = key[order], order.astype(np.int64), made  # made: by rank
+        self.pair, self.made = np.append(key, -1), made  # by rank
         self.none = len(merges)
+        self.tables = self._tables(key)
         self.by_pair = dict(zip(key.tolist(), range(len(merges)), strict=True))
 
+    def _slot(self, key: np.ndarray, level: int) -> np.ndarray:
+        return (key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15 + 2 * level) >> np.uint64(46)).astype(np.int64)
+
+    def _tables(self, key: np.ndarray) -> list[np.ndarray]:
+        """Hash tables from pair to rank; what collides in one is in the next, an empty slot ends a search."""
+        tables, left = [], np.arange(len(key))
+        while len(left):
+            table = np.full(1 << 18, self.none, np.int32)
+            slot = self._slot(key[left], len(tables))
+            table[slot] = left
+            tables.append(table)
+            left = left[table[slot] != left]
+        return tables
+
     # -- words
 
     def words(self, chunk: str) -> list[str]:
@@ -90,9 +104,19 @@ class WordBpe:
     # -- merging
 
     def _ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        key = a * self.size + b
-        at = np.minimum(np.searchsorted(self.pair, key), len(self.pair) - 1)
-        return np.where((self.pair[at] == key) & (a >= 0) & (b >= 0), self.rank[at], self.none)
+        """Rank of each pair of ids; ``none`` for pairs that don't merge and where an id is negative."""
+        key = a.astype(np.int64) * self.size + b
+        key[(a < 0) | (b < 0)] = -2
+        out = self.tables[0][self._slot(key, 0)] if self.tables else np.full(len(key), self.none, np.int32)
+        wrong = np.flatnonzero((self.pair[out] != key) & (out != self.none))
+        for level in range(1, len(self.tables)):
+            if not len(wrong):
+                break
+            got = self.tables[level][self._slot(key[wrong], level)]
+            out[wrong] = got
+            wrong = wrong[(self.pair[got] != key[wrong]) & (got != self.none)]
+        out[wrong] = self.none
+        return out
 
     def merge(self, words: list[bytes]) -> list[list[int]]:
         """Ids of words by repeated merging of the leftmost pair of least rank."""
@@ -114,10 +138,10 @@ class WordBpe:
         col = np.arange(m)
         token = np.where(col < length[:, None], self.inner[raw], -1)
         token[np.arange(n), length - 1] = self.last[raw[np.arange(n), length - 1]]
-        token = np.concatenate((token, np.full((n, 1), -1, np.int64)), axis=1)
-        rank = np.full((n, m + 1), self.none, np.int64)
+        token = np.concatenate((token, np.full((n, 1), -1)), axis=1).astype(np.int32)
+        rank = np.full((n, m + 1), self.none, np.int32)
         rank[:, :m] = self._ranks(token[:, :-1].ravel(), token[:, 1:].ravel()).reshape(n, m)
-        row = np.arange(n)  # rows still at work
+        row, col = np.arange(n), np.arange(m)  # rows still at work
         done: list[list[int] | None] = [None] * n
         while len(row):
             best = rank.argmin(axis=1)
@@ -134,14 +158,13 @@ class WordBpe:
                     break
             token[r, best] = self.made[least]
             # Close the gap behind the merged pair.
-            width = token.shape[1]
-            take = np.minimum(np.arange(width) + (np.arange(width) > best[:, None]), width - 1)
-            token = np.take_along_axis(token, take, 1)
-            rank = np.take_along_axis(rank, take, 1)
-            token[:, -1], rank[:, -1] = -1, self.none
-            rank[r, best] = self._ranks(token[r, best], token[r, np.minimum(best + 1, width - 1)])
-            before = best > 0
-            rank[r[before], best[before] - 1] = self._ranks(token[r[before], best[before] - 1], token[r[before], best[before]])
+            behind = col > best[:, None]
+            np.copyto(token[:, :-1], token[:, 1:].copy(), where=behind)
+            np.copyto(rank[:, :-1], rank[:, 1:].copy(), where=behind)
+            own = token[r, best]
+            rank[r, best] = self._ranks(own, token[r, np.minimum(best + 1, m)])
+            before = np.flatnonzero(best > 0)
+            rank[before, best[before] - 1] = self._ranks(token[before, best[before] - 1], own[before])
         return done  # type: ignore[return-value]
 
     def _merge_long(self, word: bytes) -> list[int]:
@@ -223,26 +246,26 @@ def compile_lexicon(docs: DataFrame, tokenizer: str, most: int = 100_000) -> byt
     def count(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        bpe, total = worker_state(("bpe", tokenizer), lambda: WordBpe(tokenizer)), Counter()
-
-        def out(total):
+        bpe, seen = worker_state("bpe", lambda: WordBpe(tokenizer), tokenizer), Counter()
+
+        def out():
+            total: Counter = Counter()
+            for chunk, n in seen.items():
+                word, mark = core(chunk)
+                for w in bpe.words(word):
+                    total[w] += n
+                if mark:
+                    total[mark] += n
+            seen.clear()
             return pa.record_batch([pa.array(total.keys(), pa.string()), pa.array(total.values(), pa.int64())], names=["word", "n"])
 
         for batch in batches:
             for lo in range(0, batch.num_rows, SLICE):
-                seen: Counter = Counter()
                 for text in batch.slice(lo, SLICE).column(0).to_pylist():
                     seen.update(chunks(text))
-                for chunk, n in seen.items():
-                    word, mark = core(chunk)
-                    for w in bpe.words(word):
-                        total[w] += n
-                    if mark:
-                        total[mark] += n
-                if len(total) > 200_000:
-                    yield out(total)
-                    total.clear()
-        yield out(total)
+                if len(seen) > 400_000:
+                    yield out()
+        yield out()
 
     counted = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(count, "word string, n long")
     total = stash(counted.groupBy("word").agg(F.sum("n").alias("n")).filter("n > 1"), "words")
@@ -252,6 +275,35 @@ def compile_lexicon(docs: DataFrame, tokenizer: str, most: int = 100_000) -> byt
     return build(dict(zip(words, bpe.encode_words(words), strict=True)))
 
 
+class ChunkMemo:
+    """Written ids and decoded text of chunks, kept for all tasks of a worker.
+
+    A chunk seen for the first time is encoded by the lexicon and by merging.  Beyond ``most`` chunks only
+    those of the last texts stay, so frequent ones do and memory is bounded.
+    """
+
+    def __init__(self, bpe: WordBpe, lexicon: Lexicon, most: int = 300_000):
+        self.bpe, self.lexicon, self.most = bpe, lexicon, most
+        self.number: dict[str, str] = {}
+        self.back: dict[str, str] = {}
+
+    def learn(self, own: set[str]) -> tuple[dict, dict, set[str]]:
+        """(ids, text) of all chunks of ``own``, and those among them without ids."""
+        if len(self.number) > self.most:
+            keep = own.intersection(self.number)
+            self.number = {c: self.number[c] for c in keep}
+            self.back = {c: self.back[c] for c in keep}
+        number, back = self.number, self.back
+        parts = [(c, c, "") if c.isalpha() and c.islower() else (c, *core(c)) for c in own.difference(number)]
+        words = list({w for _, w, _ in parts} | {m for _, _, m in parts if m})
+        ids = self.bpe.encode_chunks(words, self.lexicon)
+        told = dict(zip(words, [" ".join(map(str, i)) for i in ids], strict=True))
+        read = dict(zip(words, map(self.bpe.decode, ids), strict=True))
+        number.update([(c, f"{told[w]} {told[m]}" if m else told[w]) for c, w, m in parts])
+        back.update([(c, f"{read[w]} {read[m]}" if m else read[w]) for c, w, m in parts])
+        return number, back, {c for c in own if not number[c]}
+
+
 def encode_documents(docs: DataFrame, tokenizer: str, most: int = 100_000, texts: bool = False) -> DataFrame:
     """Encode and decode every text: doc_id, n_tokens, ids_sha256, decoded_sha256.
 
@@ -270,31 +322,23 @@ def encode_documents(docs: DataFrame, tokenizer: str, most: int = 100_000, texts
         import pyarrow as pa
         from pyspark import SparkFiles
 
-        bpe, lexicon = worker_state(("bpe", tokenizer), lambda: WordBpe(tokenizer)), Lexicon(SparkFiles.get(name))
+        bpe = worker_state("bpe", lambda: WordBpe(tokenizer), tokenizer)
+        memo = worker_state("bpe chunks", lambda: ChunkMemo(bpe, Lexicon(SparkFiles.get(name))), name)
         for batch in batches:
             for lo in range(0, batch.num_rows, SLICE):
                 piece = batch.slice(lo, SLICE)
                 split = [chunks(t) for t in piece.column(1).to_pylist()]
-                parts = {c: core(c) for c in set().union(*split)}
-                words = list({w for w, _ in parts.values()} | {m for _, m in parts.values() if m})
-                ids = dict(zip(words, bpe.encode_chunks(words, lexicon), strict=True))
-                number = {w: " ".join(map(str, i)) for w, i in ids.items()}
-                back = {w: bpe.decode(i) for w, i in ids.items()}
-                told = {c: f"{number[w]} {number[m]}" if m else number[w] for c, (w, m) in parts.items()}
-                read = {c: f"{back[w]} {back[m]}" if m else back[w] for c, (w, m) in parts.items()}
-                count = {c: len(ids[w]) + (len(ids[m]) if m else 0) for c, (w, m) in parts.items()}
-                n = [sum(map(count.__getitem__, s)) for s in split]
+                number, back, gaps = memo.learn(set().union(*split))
                 # A chunk may have no ids (none of its characters is a word or a symbol): no blank for it.
-                gaps = {c for c, k in count.items() if not k}
                 if gaps:
                     split = [[c for c in s if c not in gaps] for s in split]
-                decoded = [" ".join(map(read.__getitem__, s)) for s in split]
-                sums = [hashlib.sha256(" ".join(map(told.__getitem__, s)).encode()).hexdigest() for s in split]
-                cols = [piece.column(0), pa.array(n, pa.int64()), pa.array(sums, pa.string()), pa.array([hashlib.sha256(x.encode()).hexdigest() for x in decoded], pa.string())]
+                told = [" ".join(map(number.__getitem__, s)) for s in split]
+                decoded = [" ".join(map(back.__getitem__, s)) for s in split]
+                n = [t.count(" ") + 1 if t else 0 for t in told]
+                cols = [piece.column(0), pa.array(n, pa.int64()), *(pa.array([hashlib.sha256(x.encode()).hexdigest() for x in y], pa.string()) for y in (told, decoded))]
                 names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
                 if texts:
-                    whole = {c: ids[w] + (ids[m] if m else []) for c, (w, m) in parts.items()}
-                    cols += [pa.array([[i for c in s for i in whole[c]] for s in split], pa.list_(pa.int32())), pa.array(decoded, pa.string())]
+                    cols += [pa.array([list(map(int, t.split())) for t in told], pa.list_(pa.int32())), pa.array(decoded, pa.string())]
                     names += ["ids", "decoded"]
                 yield pa.record_batch(cols, names=names)
 

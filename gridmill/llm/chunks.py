@@ -34,15 +34,15 @@ def core(chunk: str) -> tuple[str, str]:
     return chunk.lower(), ""
 
 
-def worker_state(key: tuple, make):
-    """An object kept for all tasks of a Python worker."""
+def worker_state(key: str, make, version: str = ""):
+    """An object kept for all tasks of a Python worker, made anew for another version."""
     import sys
     import types
 
-    held = sys.modules.setdefault("gridmill_worker_state", types.ModuleType("gridmill_worker_state"))
-    if key not in vars(held):
-        vars(held)[key] = make()
-    return vars(held)[key]
+    held = vars(sys.modules.setdefault("gridmill_worker_state", types.ModuleType("gridmill_worker_state")))
+    if held.get(key, (None,))[0] != version:
+        held[key] = (version, make())
+    return held[key][1]
 
 
 class LibraryEncoder:
