@@ -76,7 +76,11 @@ def report(docs: DataFrame, width: int = 2, long_words: int = 50) -> DataFrame:
 
 
 def keep_first_lines(docs: DataFrame, width: int = 2, long_words: int = 50) -> DataFrame:
-    """``docs`` with later repeated runs of lines deleted; a document that has nothing left is dropped."""
+    """``docs`` with later repeated runs of lines deleted; a document that has nothing left is dropped.
+
+    A column ``n_chars`` follows the text.
+    """
     got = dedup_lines(docs, width, long_words)
     empty = (F.col("__removed") > 0) & F.col("__kept").rlike(r"^[\x09-\x0D\x20]*$")
-    return got.filter(~F.coalesce(empty, F.lit(False))).select(*[F.col("__kept").alias("text") if c == "text" else F.col(c) for c in docs.columns])
+    new = {"text": F.col("__kept"), "n_chars": F.when(F.col("__removed") > 0, F.length("__kept")).otherwise(F.col("n_chars")).cast("long") if "n_chars" in docs.columns else None}
+    return got.filter(~F.coalesce(empty, F.lit(False))).select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])

@@ -45,20 +45,17 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = 3)
     return level.select("source", "source_size", F.coalesce(F.least(F.col("final") * F.col("w"), cap.cast("double")), F.lit(0.0)).alias("target"))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = 3, bits: int = 12, levels: int = 4) -> DataFrame:
-    """doc_id, size, source_size, target, taken for every row of ``docs`` (doc_id, text, source).
+def _hash(doc_id: Column, size: Column, bits: int) -> Column:
+    """The first ``bits`` bits (a multiple of 4) of a hash of id and size."""
+    digest = F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), size.cast("string")))
+    return F.conv(F.substring(digest, 1, bits // 4), 16, 10).cast("long")
 
-    ``taken`` is 0 to ``most`` times the size, whole documents only.  A source's sum misses its target by
-    at most half of the document at the threshold.  Null text has size 0; a null source is a source of its
-    own; rows with equal doc_id (null too) and size have equal hashes and are taken together.  An empty
-    table gives an empty result; a source without words has target 0.
+
+def plan(slim: DataFrame, weights: tuple[int, ...], most: int, bits: int, levels: int) -> DataFrame:
+    """One row a source: s, source_size, target, repeats, left, bound.
+
+    ``slim`` has source, size and h.  Documents are taken ``repeats`` times, those with ``h < bound`` once more.
     """
-    size = word_count(F.col("text"))
-    digest = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), size.cast("string")))
-    h = F.conv(F.substring(digest, 1, bits * levels // 4), 16, 10).cast("long")
-    slim = stash(
-        docs.select("doc_id", "source", size.alias("size"), h.alias("h")), "mix-sizes"
-    )
     goal = targets(slim.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most)
     repeats = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
     goal = stash(
@@ -72,15 +69,44 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = 3, bits
         above = F.shiftright("h", shift + bits) if k > 1 else F.lit(0).cast("long")
         own = slim.join(cut, F.col("source").eqNullSafe(F.col("s")) & (above == F.col("prefix")))
         sums = own.groupBy("s", F.shiftright("h", shift).alias("b")).agg(F.sum("size").alias("n"), F.first("rest").alias("rest"))
-        run = W.partitionBy("s").orderBy("b")
-        ends = sums.withColumn("below", F.sum("n").over(run) - F.col("n"))
+        ends = sums.withColumn("below", F.sum("n").over(W.partitionBy("s").orderBy("b")) - F.col("n"))
         last = ends.filter(F.col("below") <= F.col("rest")).groupBy("s").agg(F.max(F.struct("b", "below", "n", "rest")).alias("x"))
-        cut = last.select("s", (F.col("x.rest") - F.col("x.below")).alias("rest"), F.col("x.b").alias("prefix"), F.col("x.n").alias("n"))
-        cut = stash(cut.select("s", "rest", "prefix", "n"), "mix-cut") if k == levels else stash(cut.select("s", "rest", "prefix"), "mix-cut")
+        cut = stash(last.select("s", (F.col("x.rest") - F.col("x.below")).alias("rest"), F.col("x.b").alias("prefix"), F.col("x.n").alias("n")), "mix-cut")
     # The last bucket, of hashes that agree in all bits read, goes in if that is nearer.
     bound = cut.select("s", F.when(F.col("rest") * 2 >= F.col("n"), F.col("prefix") + 1).otherwise(F.col("prefix")).alias("bound"))
-    plan = goal.join(bound, F.col("source").eqNullSafe(F.col("s")), "left").select(F.col("source").alias("s"), "source_size", "target", "repeats", "left", "bound")
-    more = F.when((F.col("left") > 0) & (F.col("h") < F.col("bound")), 1).otherwise(0)
-    return slim.join(plan, F.col("source").eqNullSafe(F.col("s"))).select(
-        "doc_id", "size", "source_size", "target", (F.col("size") * F.least(F.col("repeats") + more, F.lit(most))).cast("long").alias("taken")
+    return goal.join(bound, F.col("source").eqNullSafe(F.col("s")), "left").select(F.col("source").alias("s"), "source_size", "target", "repeats", "left", "bound")
+
+
+def _times(h: Column, most: int) -> Column:
+    more = F.when((F.col("left") > 0) & (h < F.col("bound")), 1).otherwise(0)
+    return F.least(F.col("repeats") + more, F.lit(most)).cast("long")
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = 3, bits: int = 12, levels: int = 4) -> DataFrame:
+    """doc_id, size, source_size, target, taken for every row of ``docs`` (doc_id, text, source).
+
+    ``taken`` is 0 to ``most`` times the size, whole documents only.  A source's sum misses its target by
+    at most half of the document at the threshold.  Null text has size 0; a null source is a source of its
+    own; rows with equal doc_id (null too) and size have equal hashes and are taken together.  An empty
+    table gives an empty result; a source without words has target 0.  Other columns are ignored.
+    """
+    size = word_count(F.col("text"))
+    slim = stash(docs.select("doc_id", "source", size.alias("size"), _hash(F.col("doc_id"), size, bits * levels).alias("h")), "mix-sizes")
+    each = plan(slim, weights, most, bits, levels)
+    return slim.join(each, F.col("source").eqNullSafe(F.col("s"))).select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * _times(F.col("h"), most)).cast("long").alias("taken")
     )
+
+
+def take(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = 3, bits: int = 12, levels: int = 4) -> DataFrame:
+    """The rows of ``docs`` as :func:`mix` takes them: each as many times as it is taken, with all its columns."""
+    size = word_count(F.col("text"))
+    slim = stash(docs.select("source", size.alias("size"), _hash(F.col("doc_id"), size, bits * levels).alias("h")), "mix-sizes")
+    each = plan(slim, weights, most, bits, levels).select(F.col("s").alias("__s"), "repeats", "left", "bound")
+    each = each.select("__s", F.struct("repeats", "left", "bound").alias("__p"))
+    h = _hash(docs["doc_id"], word_count(docs["text"]), bits * levels)
+    p = F.col("__p")
+    more = F.when((p["left"] > 0) & (h < p["bound"]), 1).otherwise(0)
+    times = F.least(p["repeats"] + more, F.lit(most)).cast("int")
+    both = docs.join(each, docs["source"].eqNullSafe(F.col("__s"))).withColumn("__n", times).filter("__n > 0")
+    return both.withColumn("__i", F.explode(F.array_repeat(F.lit(0), F.col("__n")))).drop("__s", "__p", "__n", "__i")
