@@ -5,8 +5,8 @@
 2. A class is embedded as ``HASHES`` min-wise values; two classes share a value with probability equal to
    their Jaccard index.  A run of the join chooses a path: at each level it samples positions and splits
    the bucket by the values there, until buckets have at most ``SMALL`` classes.  Small buckets are compared
-   by brute force on the embedded values, pairs that may reach the threshold become candidates.  Runs with
-   other samples follow until the recall aimed at: a pair at the threshold survives one run's levels with a
+   by brute force on the embedded values, pairs that may reach the threshold become candidates (of a bucket
+   with many, a spanning forest).  Runs with other samples follow until the recall aimed at: a pair at the threshold survives one run's levels with a
    known probability, see :func:`runs_needed`.
 3. Buckets that stay large after the last level hold sets that agree in many sampled values.  They are cut
    into blocks of ``SMALL`` dealt by a hash, each with the bucket's first classes as common members, so
@@ -142,7 +142,11 @@ def paths(rows: DataFrame, runs: int, level: int) -> DataFrame:
 
 
 def compare(buckets: DataFrame, least: float) -> DataFrame:
-    """Candidate pairs (a, b), a < b, of the classes of each bucket; buckets have a bounded size."""
+    """Candidate pairs (a, b), a < b, of the classes of each bucket; buckets have a bounded size.
+
+    What follows only asks which classes the candidates connect, so of each bucket's pairs a spanning forest
+    is enough: the exact check looks at all pairs of the group.
+    """
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -152,18 +156,26 @@ def compare(buckets: DataFrame, least: float) -> DataFrame:
         def pairs(key, rep, values):
             begin = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
             size = np.diff(np.append(begin, len(key)))
-            found: list[np.ndarray] = []
+            found = [np.zeros((0, 2), np.int64)]
             for width in np.unique(size[size > 1]).tolist():
                 groups = begin[size == width]
                 i, j = np.triu_indices(width, 1)
-                for lo in range(0, len(groups), max(1, 200_000 // len(i))):
-                    g = groups[lo : lo + max(1, 200_000 // len(i)), None]
-                    x, y = (g + i).ravel(), (g + j).ravel()
-                    alike = (values[x] == values[y]).sum(1) >= least * HASHES
-                    found.append(np.stack([rep[x[alike]], rep[y[alike]]], 1))
-            out = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
-            out = np.sort(out[out[:, 0] != out[:, 1]], 1)
-            return np.unique(out, axis=0)
+                some = max(1, 200_000 // len(i))
+                for lo in range(0, len(groups), some):
+                    g = groups[lo : lo + some, None]
+                    alike = np.zeros((len(g), width, width), bool)
+                    alike[:, i, j] = (values[g + i] == values[g + j]).sum(2) >= least * HASHES
+                    alike |= alike.transpose(0, 2, 1)
+                    root = np.tile(np.arange(width), (len(g), 1))
+                    while True:
+                        new = np.minimum(root, np.where(alike, root[:, None, :], width).min(2))
+                        if (new == root).all():
+                            break
+                        root = new
+                    at, k = np.nonzero(root != np.arange(width))
+                    found.append(np.stack([rep[g[at, 0] + root[at, k]], rep[g[at, 0] + k]], 1))
+            out = np.concatenate(found)
+            return np.unique(np.sort(out[out[:, 0] != out[:, 1]], 1), axis=0)
 
         for batch in batches:
             if not batch.num_rows:
