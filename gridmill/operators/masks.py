@@ -34,13 +34,17 @@ def unpack_rows(packed: DataFrame, value: str = "flat", keys: Keys = ()) -> Data
 
 
 def to_blocks(pixels: DataFrame, size: int, keys: Keys = (), value: str = "value") -> DataFrame:
-    """(keys, block_row, block_col, values): row-major arrays of ``size`` x ``size`` pixels."""
+    """(keys, block_row, block_col, w, values): row-major arrays of ``size`` x ``size`` pixels.
+
+    ``w`` is the block's width, less than ``size`` at the right edge.
+    """
     br, bc = F.floor(F.col("row") / size).cast("int"), F.floor(F.col("col") / size).cast("int")
     pos = (F.col("row") % size) * size + F.col("col") % size
-    got = pixels.groupBy(*keys, br.alias("block_row"), bc.alias("block_col")).agg(F.array_sort(F.collect_list(F.struct(pos.alias("p"), F.col(value).alias("v")))).alias("x"))
-    return got.select(*keys, "block_row", "block_col", F.transform("x", lambda e: e["v"]).alias("values"))
+    got = pixels.groupBy(*keys, br.alias("block_row"), bc.alias("block_col")).agg((F.max(F.col("col") % size) + 1).cast("int").alias("w"), F.array_sort(F.collect_list(F.struct(pos.alias("p"), F.col(value).alias("v")))).alias("x"))
+    return got.select(*keys, "block_row", "block_col", "w", F.transform("x", lambda e: e["v"]).alias("values"))
 
 
 def from_blocks(blocks: DataFrame, size: int, keys: Keys = (), value: str = "value", values: Column | str = "values") -> DataFrame:
-    got = blocks.select(*keys, "block_row", "block_col", F.posexplode(values).alias("p", value))
-    return got.select(*keys, (F.col("block_row") * size + F.floor(F.col("p") / size)).cast("int").alias("row"), (F.col("block_col") * size + F.col("p") % size).cast("int").alias("col"), value)
+    w = F.col("w") if "w" in blocks.columns else F.lit(size)
+    got = blocks.select(*keys, "block_row", "block_col", w.alias("w"), F.posexplode(values).alias("p", value))
+    return got.select(*keys, (F.col("block_row") * size + F.floor(F.col("p") / F.col("w"))).cast("int").alias("row"), (F.col("block_col") * size + F.col("p") % F.col("w")).cast("int").alias("col"), value)
