@@ -57,13 +57,19 @@ class LibraryEncoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import numpy as np
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = t = Tokenizer.from_file(path)
         t.no_truncation()
         t.no_padding()
         size = t.get_vocab_size(with_added_tokens=True)
         self.dtype = "<u4" if size > 1 << 16 else "<u2"
+        # The same model for words that normalising leaves as they are and that are one pre-token each.
+        self.plain = Tokenizer.from_file(path)
+        self.plain.no_truncation()
+        self.plain.no_padding()
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         suffix = getattr(t.model, "end_of_word_suffix", None)
         # Ids that end a word: each of several words joined by blanks has one, its last.
         self.last = np.array([bool(suffix) and (t.id_to_token(i) or "").endswith(suffix) for i in range(size)])
@@ -75,30 +81,45 @@ class LibraryEncoder:
         """Packed ids of distinct words into the memo."""
         import numpy as np
 
-        joined = [w for w in words if w.isalpha() and max(w) < "\u0130"] if self.last.any() else []
+        joined, rest = [], []
+        for w in words:
+            (joined if w.isalpha() and w.islower() and max(w) < "\u0130" else rest).append(w)
+        if not self.last.any():
+            joined, rest = [], words
         for at in range(0, len(joined), 1000):
             part = joined[at : at + 1000]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, self.dtype)
+            ids = np.array(self.plain.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, self.dtype)
             ends = ((np.flatnonzero(self.last[ids]) + 1) * ids.itemsize).tolist()
             data = ids.tobytes()
             self.word.update(zip(part, [data[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)], strict=True))
-        rest = [w for w in words if w not in self.word]
         for w, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
             self.word[w] = np.array(e.ids, self.dtype).tobytes()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Packed little-endian ids of each text."""
+        import gc
+
         split = [chunks(t) for t in texts]
         own = set().union(*split)
         chunk, word = self.chunk, self.word
-        parts = [(c, c, "") if c.isalpha() and c.islower() else (c, *core(c)) for c in own.difference(chunk)]
-        need = {w for _, w, _ in parts}
-        need.update(m for _, _, m in parts if m)
-        self._library([w for w in need if w not in word])
-        chunk.update([(c, word[w] + word[m] if m else word[w]) for c, w, m in parts])
-        out = [b"".join(map(chunk.__getitem__, x)) for x in split]
-        if len(chunk) > self.most:
-            self.chunk = {c: chunk[c] for c in own}
-        if len(word) > self.most:
-            self.word = {w: word[w] for w in need}
+        gc.disable()  # the collector would walk the memo again and again
+        try:
+            simple, parts = [], []
+            for c in own.difference(chunk):
+                if c.isalpha() and c.islower():
+                    simple.append(c)
+                else:
+                    parts.append((c, *core(c)))
+            need = {w for _, w, _ in parts}.union(simple)
+            need.update({m for _, _, m in parts if m})
+            self._library(list(need.difference(word)))
+            chunk.update(zip(simple, map(word.__getitem__, simple), strict=True))
+            chunk.update([(c, word[w] + word[m] if m else word[w]) for c, w, m in parts])
+            out = [b"".join(map(chunk.__getitem__, x)) for x in split]
+            if len(chunk) > self.most:
+                self.chunk = {c: chunk[c] for c in own}
+            if len(word) > self.most:
+                self.word = {w: word[w] for w in need}
+        finally:
+            gc.enable()
         return out
