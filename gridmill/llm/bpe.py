@@ -6,6 +6,7 @@ many words at a time in numpy.  Neither caps anything: a word that the lexicon l
 
 from __future__ import annotations
 
+import gc
 import heapq
 import json
 import re
@@ -26,6 +27,11 @@ SLICE = 1500  # documents of a batch that are held as words at a time
 LONG = 128  # bytes from which a word is merged on a heap
 
 
+def is_plain(word: str) -> bool:
+    """Whether a word is one pre-token that normalising leaves as it is."""
+    return word.isalpha() and word.islower() and max(word) < "\u0130"
+
+
 @lru_cache(2)
 def byte_letters() -> list[str]:
     """The character that stands for each byte: itself if printable in Latin-1, else from U+0100 on."""
@@ -83,8 +89,6 @@ class WordBpe:
 
     def words(self, chunk: str) -> list[str]:
         """The pre-tokens of a chunk without white space; special tokens stay whole."""
-        if chunk.isalpha() and max(chunk) < "\u0130":
-            return [chunk.lower()]
         if self.cut is not None and "<" in chunk:
             out = []
             for part in self.cut.split(chunk):
@@ -251,8 +255,8 @@ def compile_lexicon(docs: DataFrame, tokenizer: str, most: int = 100_000) -> byt
         def out():
             total: Counter = Counter()
             for chunk, n in seen.items():
-                word, mark = core(chunk)
-                for w in bpe.words(word):
+                word, mark = (chunk, "") if is_plain(chunk) else core(chunk)
+                for w in (word,) if is_plain(word) else bpe.words(word):
                     total[w] += n
                 if mark:
                     total[mark] += n
@@ -286,22 +290,52 @@ class ChunkMemo:
         self.bpe, self.lexicon, self.most = bpe, lexicon, most
         self.number: dict[str, str] = {}
         self.back: dict[str, str] = {}
+        self.digits = [str(i) for i in range(bpe.size)]
+        pool, starts = lexicon.pool.tolist(), lexicon.starts.tolist()
+        runs = [pool[a:b] for a, b in zip(starts[:-1], starts[1:], strict=True)]
+        self.listed = (self._write(runs), list(map(bpe.decode, runs)))
+
+    def _write(self, runs: list[list[int]]) -> list[str]:
+        digits = self.digits
+        return [" ".join([digits[i] for i in run]) for run in runs]
 
     def learn(self, own: set[str]) -> tuple[dict, dict, set[str]]:
         """(ids, text) of all chunks of ``own``, and those among them without ids."""
-        if len(self.number) > self.most:
-            keep = own.intersection(self.number)
-            self.number = {c: self.number[c] for c in keep}
-            self.back = {c: self.back[c] for c in keep}
-        number, back = self.number, self.back
-        parts = [(c, c, "") if c.isalpha() and c.islower() else (c, *core(c)) for c in own.difference(number)]
-        words = list({w for _, w, _ in parts} | {m for _, _, m in parts if m})
-        ids = self.bpe.encode_chunks(words, self.lexicon)
-        told = dict(zip(words, [" ".join(map(str, i)) for i in ids], strict=True))
-        read = dict(zip(words, map(self.bpe.decode, ids), strict=True))
-        number.update([(c, f"{told[w]} {told[m]}" if m else told[w]) for c, w, m in parts])
-        back.update([(c, f"{read[w]} {read[m]}" if m else read[w]) for c, w, m in parts])
-        return number, back, {c for c in own if not number[c]}
+        gc.disable()  # the collector would walk the memo again and again
+        try:
+            if len(self.number) > self.most:
+                keep = own.intersection(self.number)
+                self.number = {c: self.number[c] for c in keep}
+                self.back = {c: self.back[c] for c in keep}
+            number, back = self.number, self.back
+            simple, parts = [], []
+            for c in own.difference(number):
+                if is_plain(c):
+                    simple.append(c)
+                else:
+                    parts.append((c, *core(c)))
+            plain, rest = set(simple), set()
+            for _, w, m in parts:
+                (plain if is_plain(w) else rest).add(w)
+                if m:
+                    rest.add(m)
+            words = list(plain)
+            places = self.lexicon.numbers([w.encode() for w in words]).tolist()
+            ids, text = self.listed
+            told = {w: ids[k] for w, k in zip(words, places, strict=True) if k >= 0}
+            read = {w: text[k] for w, k in zip(words, places, strict=True) if k >= 0}
+            unseen = [w for w, k in zip(words, places, strict=True) if k < 0]
+            more = list(rest)
+            runs = self.bpe.merge([w.encode() for w in unseen]) + self.bpe.encode_chunks(more, self.lexicon)
+            told.update(zip(unseen + more, self._write(runs), strict=True))
+            read.update(zip(unseen + more, map(self.bpe.decode, runs), strict=True))
+            number.update(zip(simple, map(told.__getitem__, simple), strict=True))
+            back.update(zip(simple, map(read.__getitem__, simple), strict=True))
+            number.update([(c, f"{told[w]} {told[m]}" if m else told[w]) for c, w, m in parts])
+            back.update([(c, f"{read[w]} {read[m]}" if m else read[w]) for c, w, m in parts])
+            return number, back, {c for c in own if not number[c]}
+        finally:
+            gc.enable()
 
 
 def encode_documents(docs: DataFrame, tokenizer: str, most: int = 100_000, texts: bool = False) -> DataFrame:
