@@ -54,7 +54,7 @@ def is_tiff(content: Column) -> Column:
 
 def read_features(spark: SparkSession, path: str) -> DataFrame:
     """(i, feature): the features of a FeatureCollection, or a bare geometry as one feature; else an error."""
-    text = spark.read.option("wholetext", "true").text(path)
+    text = spark.read.text(path, wholetext=True)
     kind = F.get_json_object("value", "$.type")
     many = F.from_json(F.get_json_object("value", "$.features"), "array<string>")
     one = F.array(F.concat(F.lit('{"type":"Feature","properties":{},"geometry":'), F.col("value"), F.lit("}")))
@@ -79,7 +79,7 @@ def read_registry(spark: SparkSession, path: str) -> DataFrame:
     fields = f"tile_id string, {', '.join(f'{f} double' if f == 'size_mb' else f'{f} string' for f in REGISTRY_FIELDS)}"
     if not jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath):
         return spark.createDataFrame([], fields)
-    text = spark.read.option("wholetext", "true").text(path)
+    text = spark.read.text(path, wholetext=True)
     got = text.select(F.from_json("value", f"version int, tiles map<string,{ENTRY}>", {"mode": "FAILFAST"}).alias("r"))
     good = F.when(F.col("r.version") == VERSION, F.col("r.tiles")).otherwise(F.raise_error(F.lit("unknown registry version")).cast(f"map<string,{ENTRY}>"))
     rows = got.select(F.explode(good).alias("tile_id", "e")).select("tile_id", *[F.col(f"e.{f}").alias(f) for f in REGISTRY_FIELDS])
