@@ -37,7 +37,7 @@ noise AS (SELECT l_orderkey % 120 AS nr, l_partkey % 120 AS nc, max(l_suppkey +
 grid AS (SELECT a.r, b.c FROM range(0, 120) AS a(r) CROSS JOIN range(0, 120) AS b(c)),
 dem AS (SELECT CAST(r AS INT) AS r, CAST(c AS INT) AS c, {HEIGHT} AS z FROM grid LEFT JOIN noise ON r = nr AND c = nc),
 coarse AS (SELECT CAST(r AS INT) AS r, CAST(c AS INT) AS c, {COARSE} AS z FROM grid),
-ponds AS (SELECT {PONDS} FROM supplier WHERE s_suppkey < 60),
+ponds AS (SELECT {PONDS} FROM supplier),
 inside AS (SELECT pid, name, ftype, CAST(r AS INT) AS r, CAST(c AS INT) AS c FROM ponds, grid
   WHERE CASE WHEN is_rect = 1 THEN abs(c + 0.5 - cx - {SHIFT}) < hw AND abs(r + 0.5 - cy) < hh ELSE abs(c + 0.5 - cx - {SHIFT}) / hw + abs(r + 0.5 - cy) / hh < 1 END),
 labels_ AS (SELECT r, c, max(pid + 1) AS label FROM inside WHERE ftype IN (390, 436, 493) GROUP BY r, c)
@@ -73,7 +73,7 @@ def coarse(spark: SparkSession) -> DataFrame:
 
 def ponds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Polygons in pixel coordinates: pid, name, ftype, rings and the numbers they are made of."""
-    got = _table(spark, sf_dir, "supplier").filter("s_suppkey < 60").selectExpr(*_split(PONDS))
+    got = _table(spark, sf_dir, "supplier").selectExpr(*_split(PONDS))
     x = f"(cx + {SHIFT}D)"
     rect = [("-", "-"), ("+", "-"), ("+", "+"), ("-", "+"), ("-", "-")]
     corners = ", ".join(f"array({x} {a} hw, CAST(cy {b} hh AS DOUBLE))" for a, b in rect)

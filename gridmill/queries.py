@@ -91,27 +91,28 @@ def tile_bbox_intersects(spark, d):
     return near.join(tiles, ["lat_floor", "lng_floor"]).filter(hit).select("pid", "tile_id")
 
 
-BOX = "SELECT user_id, min(lat_c) AS s, min(lng_c) AS w, max(lat_c) + 1 AS n, max(lng_c) + 1 AS e FROM (SELECT * FROM points WHERE event_id % 50 < 2) GROUP BY user_id"
-
-
-@query(f"""CTE b AS ({BOX}), la AS (SELECT user_id, unnest(range(CAST(floor(s / 100) AS BIGINT), CAST(ceil(n / 100) AS BIGINT))) AS lat_floor FROM b),
-lo AS (SELECT user_id, unnest(range(CAST(floor(w / 100) AS BIGINT), CAST(ceil(e / 100) AS BIGINT))) AS lng_floor FROM b)
-SELECT user_id, {TID} AS tile_id FROM la JOIN lo USING (user_id)""")
+@query(f"""CTE b AS (SELECT event_id, lat_c AS s, lng_c AS w, lat_c + 30 + event_id % 200 AS n, lng_c + 50 + user_id % 150 AS e FROM points), la AS (SELECT event_id, unnest(range(CAST(floor(s / 100) AS BIGINT), CAST(ceil(n / 100) AS BIGINT))) AS lat_floor FROM b),
+lo AS (SELECT event_id, unnest(range(CAST(floor(w / 100) AS BIGINT), CAST(ceil(e / 100) AS BIGINT))) AS lng_floor FROM b)
+SELECT event_id, {TID} AS tile_id FROM la JOIN lo USING (event_id)""")
 def bbox_cover(spark, d):
-    p = X.points(spark, d).filter("event_id % 50 < 2").groupBy("user_id").agg(*(f(c).alias(n) for f, c, n in ((F.min, "lat_c", "s"), (F.min, "lng_c", "w"), (F.max, "lat_c", "n"), (F.max, "lng_c", "e"))))
-    box = p.select("user_id", (F.col("s") / 100).alias("south"), (F.col("w") / 100).alias("west"), ((F.col("n") + 1) / 100).alias("north"), ((F.col("e") + 1) / 100).alias("east"))
-    return cover.bbox_tiles(box).select("user_id", "tile_id")
+    p = X.points(spark, d)
+    north, east = F.col("lat_c") + 30 + F.col("event_id") % 200, F.col("lng_c") + 50 + F.col("user_id") % 150
+    box = p.select("event_id", (F.col("lat_c") / 100).alias("south"), (F.col("lng_c") / 100).alias("west"), (north / 100).alias("north"), (east / 100).alias("east"))
+    return cover.bbox_tiles(box).select("event_id", "tile_id")
 
 
-@query(f"""CTE p AS (SELECT user_id, min(lat_c) / 100 AS s, max(lat_c) / 100 AS n, min(lng_c) / 100 AS w, max(lng_c) / 100 AS e FROM points WHERE event_id % 50 < 2 GROUP BY user_id),
-g AS (SELECT user_id, s, n, w, e, 1000 / 111320.0::DOUBLE AS dy, 1000 / 111320.0::DOUBLE / greatest(cos(radians((s + n) / 2)), 1e-6) AS dx FROM p),
-la AS (SELECT user_id, unnest(range(CAST(floor(s - dy) AS BIGINT), CAST(ceil(n + dy) AS BIGINT))) AS lat_floor FROM g),
-lo AS (SELECT user_id, unnest(range(CAST(floor(w - dx) AS BIGINT), CAST(ceil(e + dx) AS BIGINT))) AS lng_floor FROM g)
-SELECT user_id, count(*) AS n_tiles, min({TID}) AS first_id, max({TID}) AS last_id FROM la JOIN lo USING (user_id) GROUP BY user_id""")
+@query(f"""CTE l AS (SELECT event_id, lat_c, lng_c FROM points UNION ALL SELECT event_id, lat_c + user_id % 90, lng_c - event_id % 120 FROM points),
+p AS (SELECT event_id, min(lat_c) / 100 AS s, max(lat_c) / 100 AS n, min(lng_c) / 100 AS w, max(lng_c) / 100 AS e FROM l GROUP BY event_id),
+g AS (SELECT event_id, s, n, w, e, 1000 / 111320.0::DOUBLE AS dy, 1000 / 111320.0::DOUBLE / greatest(cos(radians((s + n) / 2)), 1e-6) AS dx FROM p),
+la AS (SELECT event_id, unnest(range(CAST(floor(s - dy) AS BIGINT), CAST(ceil(n + dy) AS BIGINT))) AS lat_floor FROM g),
+lo AS (SELECT event_id, unnest(range(CAST(floor(w - dx) AS BIGINT), CAST(ceil(e + dx) AS BIGINT))) AS lng_floor FROM g)
+SELECT event_id, count(*) AS n_tiles, min({TID}) AS first_id, max({TID}) AS last_id FROM la JOIN lo USING (event_id) GROUP BY event_id""")
 def polyline_cover(spark, d):
-    p = X.points(spark, d).filter("event_id % 50 < 2").select("user_id", "lat", "lng")
-    got = cover.polyline_tiles(p, "user_id", 1000.0)
-    return got.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_tiles"), F.min("tile_id").alias("first_id"), F.max("tile_id").alias("last_id"))
+    p = X.points(spark, d)
+    ends = F.array(F.struct(F.col("lat_c").alias("a"), F.col("lng_c").alias("b")), F.struct((F.col("lat_c") + F.col("user_id") % 90).alias("a"), (F.col("lng_c") - F.col("event_id") % 120).alias("b")))
+    line = p.select("event_id", F.explode(ends).alias("e")).select("event_id", (F.col("e.a").cast("double") / 100).alias("lat"), (F.col("e.b").cast("double") / 100).alias("lng"))
+    got = cover.polyline_tiles(line, "event_id", 1000.0)
+    return got.groupBy("event_id").agg(F.count(F.lit(1)).alias("n_tiles"), F.min("tile_id").alias("first_id"), F.max("tile_id").alias("last_id"))
 
 
 @query(f"""CTE o AS (SELECT * FROM (VALUES ('N', 1, 0), ('S', -1, 0), ('E', 0, 1), ('W', 0, -1), ('NE', 1, 1), ('NW', 1, -1), ('SE', -1, 1), ('SW', -1, -1)) AS v(direction, a, b)),
