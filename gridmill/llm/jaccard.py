@@ -365,7 +365,8 @@ def join_documents(docs: DataFrame, threshold: float = 0.8, n: int = SHINGLE, re
     known = drawn.select("doc_id", F.col("a").alias("rep")).join(roots.join(links, "rep"), "rep", "left")
     root = F.coalesce("root", "rep").alias("root")
     placed = known.select("doc_id", root, F.coalesce("links", F.lit(0)).cast("long").alias("n_links"))
-    least = placed.groupBy("root").agg(F.min("doc_id").alias("class_id"))
+    # A table of its own, so that the join's hot partitions can be split.
+    least = stash(placed.groupBy("root").agg(F.min("doc_id").alias("class_id")), "least")
     return placed.join(least, "root").select("doc_id", "class_id", "n_links")
 
 
