@@ -280,7 +280,7 @@ def compile_lexicon(docs: DataFrame, tokenizer: str, most: int = 100_000) -> byt
 
 
 class ChunkMemo:
-    """Written ids and decoded text of chunks, kept for all tasks of a worker.
+    """Written ids and decoded text of chunks, kept for a task (a worker goes on to other work afterwards).
 
     A chunk seen for the first time is encoded by the lexicon and by merging.  Beyond ``most`` chunks only
     those of the last texts stay, so frequent ones do and memory is bounded.
@@ -357,7 +357,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, most: int = 100_000, texts
         from pyspark import SparkFiles
 
         bpe = worker_state("bpe", lambda: WordBpe(tokenizer), tokenizer)
-        memo = worker_state("bpe chunks", lambda: ChunkMemo(bpe, Lexicon(SparkFiles.get(name))), name)
+        memo = ChunkMemo(bpe, Lexicon(SparkFiles.get(name)))
         for batch in batches:
             for lo in range(0, batch.num_rows, SLICE):
                 piece = batch.slice(lo, SLICE)
@@ -372,7 +372,9 @@ def encode_documents(docs: DataFrame, tokenizer: str, most: int = 100_000, texts
                 cols = [piece.column(0), pa.array(n, pa.int64()), *(pa.array([hashlib.sha256(x.encode()).hexdigest() for x in y], pa.string()) for y in (told, decoded))]
                 names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
                 if texts:
-                    cols += [pa.array([list(map(int, t.split())) for t in told], pa.list_(pa.int32())), pa.array(decoded, pa.string())]
+                    flat = np.fromstring(" ".join(t for t in told if t), np.int32, sep=" ")
+                    ends = np.concatenate((np.zeros(1, np.int32), np.cumsum(n, dtype=np.int32)))
+                    cols += [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.array(decoded, pa.string())]
                     names += ["ids", "decoded"]
                 yield pa.record_batch(cols, names=names)
 

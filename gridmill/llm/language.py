@@ -26,6 +26,7 @@ from .chunks import chunks
 BUCKETS = 1 << 16
 GRAMS = (2, 3, 4)
 CHAIN = 64
+SLICE = 500  # documents of a batch that are held as words at a time
 SPAN = 32
 WINDOWS = 6
 
@@ -140,8 +141,8 @@ class Crf:
         size = np.diff(np.append(begins, len(ids)))
         for size_class in (8, CHAIN):  # short chains apart, so that little is padded
             chosen = np.flatnonzero(size <= 8 if size_class == 8 else size > 8)
-            for lo in range(0, len(chosen), 8192):
-                part = chosen[lo : lo + 8192]
+            for lo in range(0, len(chosen), 4096):
+                part = chosen[lo : lo + 4096]
                 mask = np.arange(size_class) < size[part, None]
                 index = np.minimum(begins[part, None] + np.arange(size_class), len(ids) - 1)
                 p = self.marginals(table[ids[index]], mask)
@@ -254,8 +255,8 @@ def annotate(docs: DataFrame, most_docs: int = 3000, names: tuple[str, str] = ("
 
         model = Crf(*told.value)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 2000):
-                piece = batch.slice(lo, 2000)
+            for lo in range(0, batch.num_rows, SLICE):
+                piece = batch.slice(lo, SLICE)
                 split = [chunks(t) for t in piece.column(text_at).cast(pa.string()).to_pylist()]
                 words = {c: word_of(c) for c in set().union(*split)}
                 split = [[w for c in s if (w := words[c])] for s in split]
