@@ -1,0 +1,10 @@
+"""Elevation grids and text corpora on Spark.
+
+Worker functions of this package are pickled by value, so executors need no copy of it.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
