@@ -285,7 +285,10 @@ def identify(docs: DataFrame, most_docs: int = 3000) -> DataFrame:
     return got.select("doc_id", (fold(F.col("doc_id")) == 2).alias("held_out"), "lang_pred", "score")
 
 
-def keep_identified(docs: DataFrame, least: float = 0.5, most_docs: int = 3000) -> DataFrame:
-    """The rows of ``docs`` with a predicted language whose score is at least ``least``, as they were."""
+def keep_identified(docs: DataFrame, least: float = 0.35, most_docs: int = 3000) -> DataFrame:
+    """The rows of ``docs`` with a predicted language whose score is at least ``least``, as they were.
+
+    The bound is low so that text in two languages, or a short one with a foreign licence line, stays.
+    """
     got = annotate(docs, most_docs, ("__language", "__share"))
     return got.filter((F.col("__language") != "und") & (F.col("__share") >= least)).drop("__language", "__share")
