@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .functions import rules as R
 from .functions import tiles as T
-from .operators import checks, cover, focal, masks, registry, resample, stats, vector, water
+from .operators import blocks, checks, cover, focal, masks, registry, resample, stats, vector, water
 from .plans import fixtures as X
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -486,3 +486,19 @@ def nhd_feature_filter(spark, d):
     text = F.concat(F.lit('{"type":"Feature","geometry":'), geometry, F.lit(',"properties":{"GNIS_NAME":"'), F.col("name"), F.lit('","FTYPE":'), number, F.lit("}}"))
     raw = p.select("pid", text.alias("feature"))
     return vector.still_water(vector.parse_features(raw)).select("pid", "part", "name", "ftype")
+
+
+@query("""CTE d AS (SELECT r, c, z, lag(z) OVER x AS a, lead(z) OVER x AS b, lag(z) OVER y AS e, lead(z) OVER y AS f FROM dem WINDOW x AS (PARTITION BY r ORDER BY c), y AS (PARTITION BY c ORDER BY r)),
+g AS (SELECT r, c, 0.15::DOUBLE * CASE WHEN a IS NULL THEN b - z WHEN b IS NULL THEN z - a ELSE (b - a) / 2.0::DOUBLE END AS dx, 0.15::DOUBLE * CASE WHEN e IS NULL THEN f - z WHEN f IS NULL THEN z - e ELSE (f - e) / 2.0::DOUBLE END AS dy FROM d)
+SELECT r AS row, c AS col, round(greatest(0.0::DOUBLE, least(1.0::DOUBLE, (cos(radians(45)) * (-dx * cos(radians(-225)) + dy * sin(radians(-225))) + sin(radians(45))) / sqrt(1 + dx * dx + dy * dy))), 5) AS shade FROM g""")
+def hillshade(spark, d):
+    return focal.hillshade(X.dem(spark, d), F.col("value"), pixel_m=float(U)).withColumn("shade", F.round("shade", 5))
+
+
+@query(f"CTE {PAD}, h AS (SELECT *, lag(flat, 1, 0) OVER (PARTITION BY r ORDER BY c) AS a, lead(flat, 1, 0) OVER (PARTITION BY r ORDER BY c) AS b, lag(flat, 1, 0) OVER (PARTITION BY c ORDER BY r) AS e, lead(flat, 1, 0) OVER (PARTITION BY c ORDER BY r) AS f FROM fl) SELECT r AS row, c AS col, flat, CASE WHEN flat = 1 AND least(a, b, e, f) = 0 THEN 1 ELSE 0 END AS boundary FROM h")
+def boundary_mask_blocks(spark, d):
+    # The kernel for full-size rasters: blocks with a halo instead of pixel rows.
+    got = blocks.flat_and_boundary(masks.to_blocks(X.dem(spark, d), 32).drop("w"), 32, S, S, 5, 4.0 * U * U, float(NONE))
+    w = F.least(F.lit(32), S - F.col("block_col") * 32)
+    pair = got.select("block_row", "block_col", w.alias("w"), F.arrays_zip("flat", "boundary").alias("values"))
+    return masks.from_blocks(pair, 32).select("row", "col", F.col("value.flat").cast("int").alias("flat"), F.col("value.boundary").cast("int").alias("boundary"))
