@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from .functions import rules as R
 from .functions import tiles as T
-from .operators import blocks, checks, cover, focal, masks, registry, resample, stats, vector, water
+from .functions import urls
+from .operators import blocks, checks, cover, fetch, focal, masks, registry, resample, stats, vector, water
 from .plans import fixtures as X
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -502,3 +503,41 @@ def boundary_mask_blocks(spark, d):
     w = F.least(F.lit(32), S - F.col("block_col") * 32)
     pair = got.select("block_row", "block_col", w.alias("w"), F.arrays_zip("flat", "boundary").alias("values"))
     return masks.from_blocks(pair, 32).select("row", "col", F.col("value.flat").cast("int").alias("flat"), F.col("value.boundary").cast("int").alias("boundary"))
+
+
+@query(f"""SELECT DISTINCT {TID} AS tile_id,
+ CASE WHEN lng_floor < 0 AND lat_floor BETWEEN 24 AND 72 THEN 'https://prd-tnm.s3.amazonaws.com/StagedProducts/Elevation/13/TIFF/current/' || n || '/USGS_13_' || n || '.tif' END AS ten,
+ 'https://copernicus-dem-30m.s3.amazonaws.com/' || m || '/' || m || '.tif' AS thirty
+FROM (SELECT *, 'n' || lpad(CAST(abs(lat_floor + 1) AS VARCHAR), 2, '0') || 'w' || lpad(CAST(abs(lng_floor) AS VARCHAR), 3, '0') AS n,
+ 'Copernicus_DSM_COG_10_' || CASE WHEN lat_floor < 0 THEN 'S' ELSE 'N' END || lpad(CAST(abs(lat_floor) AS VARCHAR), 2, '0') || '_00_' || CASE WHEN lng_floor < 0 THEN 'W' ELSE 'E' END || lpad(CAST(abs(lng_floor) AS VARCHAR), 3, '0') || '_00_DEM' AS m FROM located)""")
+def source_urls(spark, d):
+    t = located(spark, d).select("lat_floor", "lng_floor", "tile_id").distinct()
+    return t.select("tile_id", urls.ten_metre(F.col("lat_floor"), F.col("lng_floor")).alias("ten"), urls.thirty_metre(F.col("lat_floor"), F.col("lng_floor")).alias("thirty"))
+
+
+@query("""SELECT lat_floor, lng_floor, coalesce(arg_min(CASE ev_id % 3 WHEN 0 THEN '1m' WHEN 1 THEN '10m' ELSE '30m' END, (ev_id % 3) * 100 + ev_id % 7) FILTER (status = 'ready'), CASE WHEN lat_floor > 40 THEN 'ocean0m' ELSE 'none' END) AS label FROM log GROUP BY lat_floor, lng_floor""")
+def source_cascade(spark, d):
+    attempts = X.log(spark, d).withColumn("label", F.when(F.col("ev_id") % 3 == 0, "1m").when(F.col("ev_id") % 3 == 1, "10m").otherwise("30m")).withColumn("rank", F.col("ev_id") % 3)
+    return fetch.first_available(attempts, ["lat_floor", "lng_floor"], "rank", F.col("status") == "ready", F.when(F.col("lat_floor") > 40, "ocean0m").otherwise("none"))
+
+
+@query(f"SELECT lat_floor, lng_floor, bool_and(NOT ({LAND})) AS ocean FROM located GROUP BY lat_floor, lng_floor")
+def ocean_tiles(spark, d):
+    return fetch.all_ocean(located(spark, d), ["lat_floor", "lng_floor"], ~R.is_land(F.col("lat"), F.col("lng")))
+
+
+@query("""CTE f AS (SELECT *, coalesce(sum(size_mb) OVER (ORDER BY ts, ev_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS freed FROM state WHERE NOT (lat_floor = 40 AND lng_floor = -100))
+SELECT ev_id, size_mb, CAST(freed AS BIGINT) AS freed_before FROM f WHERE (SELECT sum(size_mb) FROM state) - freed > 60000""")
+def cache_evictions(spark, d):
+    keep = (F.col("lat_floor") == 40) & (F.col("lng_floor") == -100)
+    return fetch.cache_evictions(state(spark, d), 60000, ["ev_id"], keep, "size_mb", "ts").select("ev_id", "size_mb", "freed_before")
+
+
+@query("""CTE q AS (SELECT pid, (row_number() OVER (ORDER BY cy, cx, pid) - 1) // 16 AS batch FROM ponds) SELECT pid, CAST(batch AS INT) AS batch FROM q""")
+def batch_numbers(spark, d):
+    return vector.batches(X.ponds(spark, d), 16, ["cy", "cx", "pid"]).select("pid", "batch")
+
+
+@query("SELECT CAST(r AS INT) AS row, CAST(c AS INT) AS col, CAST(0 AS FLOAT) AS value FROM grid")
+def ocean_tile(spark, d):
+    return fetch.constant_tile(spark, S)
