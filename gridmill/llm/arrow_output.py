@@ -130,9 +130,9 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = 2, length: int =
                 fs.create_dir(path.rpartition("/")[0], recursive=True)
                 sink = fs.open_output_stream(path)
                 writer = SequenceWriter(sink, codec.dtype, length, rows)
-            for lo in range(0, batch.num_rows, 3000):
-                piece = batch.slice(lo, 3000)
-                packed = [np.frombuffer(x + end, codec.dtype) for x in codec.encode(piece.column(1).to_pylist())]
+            for lo in range(0, batch.num_rows, 5000):
+                piece = batch.slice(lo, 5000)
+                packed = [np.frombuffer(x + end, codec.dtype) for x in codec.encode(piece.column(1))]
                 at = [writer.add(x) for x in packed]
                 n = piece.num_rows
                 yield pa.record_batch(

@@ -20,10 +20,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .automaton import Lexicon, build
-from .chunks import chunks, core, worker_state
+from .chunks import Split, chunks, core, worker_state
 from .shared import most_frequent, put_file, stash
 
-SLICE = 1500  # documents of a batch that are held as words at a time
+SLICE = 3000  # documents of a batch that are split at a time
 LONG = 128  # bytes from which a word is merged on a heap
 
 
@@ -255,6 +255,8 @@ def compile_lexicon(docs: DataFrame, tokenizer: str, most: int = 100_000) -> byt
         def out():
             total: Counter = Counter()
             for chunk, n in seen.items():
+                if not n:
+                    continue
                 word, mark = (chunk, "") if is_plain(chunk) else core(chunk)
                 for w in (word,) if is_plain(word) else bpe.words(word):
                     total[w] += n
@@ -265,8 +267,9 @@ def compile_lexicon(docs: DataFrame, tokenizer: str, most: int = 100_000) -> byt
 
         for batch in batches:
             for lo in range(0, batch.num_rows, SLICE):
-                for text in batch.slice(lo, SLICE).column(0).to_pylist():
-                    seen.update(chunks(text))
+                split = Split(batch.slice(lo, SLICE).column(0))
+                for c, n in zip(split.distinct, split.counts().tolist(), strict=True):
+                    seen[c] += n
                 if len(seen) > 400_000:
                     yield out()
         yield out()
@@ -299,20 +302,22 @@ class ChunkMemo:
         digits = self.digits
         return [" ".join([digits[i] for i in run]) for run in runs]
 
-    def learn(self, own: set[str]) -> tuple[dict, dict, set[str]]:
-        """(ids, text) of all chunks of ``own``, and those among them without ids."""
+    def learn(self, own: list[str]) -> tuple[dict, dict]:
+        """Written ids and text of (at least) all chunks of ``own``."""
         gc.disable()  # the collector would walk the memo again and again
         try:
             if len(self.number) > self.most:
-                keep = own.intersection(self.number)
+                keep = [c for c in own if c in self.number]
                 self.number = {c: self.number[c] for c in keep}
                 self.back = {c: self.back[c] for c in keep}
             number, back = self.number, self.back
             simple, parts = [], []
-            for c in own.difference(number):
-                if is_plain(c):
+            for c in own:
+                if c in number:
+                    continue
+                if c and is_plain(c):
                     simple.append(c)
-                else:
+                elif c:
                     parts.append((c, *core(c)))
             plain, rest = set(simple), set()
             for _, w, m in parts:
@@ -333,7 +338,8 @@ class ChunkMemo:
             back.update(zip(simple, map(read.__getitem__, simple), strict=True))
             number.update([(c, f"{told[w]} {told[m]}" if m else told[w]) for c, w, m in parts])
             back.update([(c, f"{read[w]} {read[m]}" if m else read[w]) for c, w, m in parts])
-            return number, back, {c for c in own if not number[c]}
+            number[""] = back[""] = ""
+            return number, back
         finally:
             gc.enable()
 
@@ -361,20 +367,22 @@ def encode_documents(docs: DataFrame, tokenizer: str, most: int = 100_000, texts
         for batch in batches:
             for lo in range(0, batch.num_rows, SLICE):
                 piece = batch.slice(lo, SLICE)
-                split = [chunks(t) for t in piece.column(1).to_pylist()]
-                number, back, gaps = memo.learn(set().union(*split))
+                split = Split(piece.column(1))
+                number, back = memo.learn(split.distinct)
+                told, read = [number[c] for c in split.distinct], [back[c] for c in split.distinct]
                 # A chunk may have no ids (none of its characters is a word or a symbol): no blank for it.
+                gaps = [i for i, t in enumerate(told) if not t]
                 if gaps:
-                    split = [[c for c in s if c not in gaps] for s in split]
-                told = [" ".join(map(number.__getitem__, s)) for s in split]
-                decoded = [" ".join(map(back.__getitem__, s)) for s in split]
-                n = [t.count(" ") + 1 if t else 0 for t in told]
-                cols = [piece.column(0), pa.array(n, pa.int64()), *(pa.array([hashlib.sha256(x.encode()).hexdigest() for x in y], pa.string()) for y in (told, decoded))]
+                    split.drop(gaps)
+                n = split.sums([t.count(" ") + 1 for t in told])
+                written, decoded = split.join(told, " "), split.join(read, " ")
+                sums = [pa.array([hashlib.sha256(x).hexdigest() for x in y.cast(pa.large_binary()).to_pylist()], pa.string()) for y in (written, decoded)]
+                cols = [piece.column(0), pa.array(n), *sums]
                 names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
                 if texts:
-                    flat = np.fromstring(" ".join(t for t in told if t), np.int32, sep=" ")
+                    flat = np.fromstring(" ".join(t for t in written.to_pylist() if t), np.int32, sep=" ")
                     ends = np.concatenate((np.zeros(1, np.int32), np.cumsum(n, dtype=np.int32)))
-                    cols += [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.array(decoded, pa.string())]
+                    cols += [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), decoded.cast(pa.string())]
                     names += ["ids", "decoded"]
                 yield pa.record_batch(cols, names=names)
 

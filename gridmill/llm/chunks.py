@@ -21,6 +21,63 @@ def chunks(text: str | None) -> list[str]:
     return text.split()
 
 
+class Split:
+    """The chunks of many texts: distinct ones, and for each text the numbers of its own in order.
+
+    Arrow splits and numbers them, so a chunk that stands a thousand times is one object.
+    """
+
+    def __init__(self, texts):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        if pc.any(pc.match_substring_regex(texts, "[\x1c-\x1f]")).as_py():
+            parts = [chunks(t) for t in texts.to_pylist()]
+            flat = pa.array([c for p in parts for c in p], pa.string())
+            self.ends = np.cumsum([0, *map(len, parts)])
+        else:
+            # Like str.split() but for an empty chunk beside white space at either end.
+            lists = pc.utf8_split_whitespace(texts)
+            flat = lists.flatten()
+            self.ends = lists.offsets.to_numpy().astype(np.int64) - (lists.offsets[0].as_py() if len(lists) else 0)
+        coded = pc.dictionary_encode(flat)
+        self.distinct: list[str] = coded.dictionary.to_pylist()
+        self.index = coded.indices.to_numpy()
+        if "" in self.distinct:
+            self.drop({self.distinct.index("")})
+
+    def drop(self, numbers) -> None:
+        """Take the chunks of these numbers out of every text."""
+        import numpy as np
+
+        keep = ~np.isin(self.index, list(numbers))
+        self.ends = np.concatenate((np.zeros(1, np.int64), np.cumsum(keep)))[self.ends]
+        self.index = self.index[keep]
+
+    def counts(self):
+        import numpy as np
+
+        return np.bincount(self.index, minlength=len(self.distinct))
+
+    def join(self, values: list, between):
+        """Each text's values (one for each distinct chunk, text or bytes) in order, as an Arrow array."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        kind = pa.large_binary() if isinstance(between, bytes) else pa.large_string()
+        every = pc.take(pa.array(values, kind), pa.array(self.index))
+        return pc.binary_join(pa.LargeListArray.from_arrays(pa.array(self.ends), every), pa.scalar(between, kind))
+
+    def sums(self, values):
+        """Each text's sum of a number for each distinct chunk."""
+        import numpy as np
+
+        total = np.concatenate((np.zeros(1, np.int64), np.cumsum(np.asarray(values, np.int64)[self.index])))
+        return total[self.ends[1:]] - total[self.ends[:-1]]
+
+
 def core(chunk: str) -> tuple[str, str]:
     """(word, mark): a chunk whose ids are those of ``word`` and then those of ``mark``.
 
@@ -95,29 +152,30 @@ class LibraryEncoder:
         for w, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
             self.word[w] = np.array(e.ids, self.dtype).tobytes()
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Packed little-endian ids of each text."""
+    def encode(self, texts) -> list[bytes]:
+        """Packed little-endian ids of each text of an Arrow array."""
         import gc
 
-        split = [chunks(t) for t in texts]
-        own = set().union(*split)
+        split = Split(texts)
         chunk, word = self.chunk, self.word
         gc.disable()  # the collector would walk the memo again and again
         try:
             simple, parts = [], []
-            for c in own.difference(chunk):
-                if c.isalpha() and c.islower():
-                    simple.append(c)
-                else:
-                    parts.append((c, *core(c)))
+            for c in split.distinct:
+                if c not in chunk:
+                    if c.isalpha() and c.islower():
+                        simple.append(c)
+                    elif c:
+                        parts.append((c, *core(c)))
             need = {w for _, w, _ in parts}.union(simple)
             need.update({m for _, _, m in parts if m})
             self._library(list(need.difference(word)))
             chunk.update(zip(simple, map(word.__getitem__, simple), strict=True))
             chunk.update([(c, word[w] + word[m] if m else word[w]) for c, w, m in parts])
-            out = [b"".join(map(chunk.__getitem__, x)) for x in split]
+            chunk[""] = b""
+            out = split.join(list(map(chunk.__getitem__, split.distinct)), b"").to_pylist()
             if len(chunk) > self.most:
-                self.chunk = {c: chunk[c] for c in own}
+                self.chunk = {c: chunk[c] for c in split.distinct}
             if len(word) > self.most:
                 self.word = {w: word[w] for w in need}
         finally:
