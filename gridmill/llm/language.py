@@ -21,12 +21,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .chunks import chunks
+from .chunks import Split, chunks
 
 BUCKETS = 1 << 16
 GRAMS = (2, 3, 4)
 CHAIN = 64
-SLICE = 500  # documents of a batch that are held as words at a time
+SLICE = 1000  # documents of a batch that are split at a time
 SPAN = 32
 WINDOWS = 6
 
@@ -126,16 +126,19 @@ class Crf:
 
     def documents(self, split: list[list[str]]) -> np.ndarray:
         """Mean marginals of each list of words; zeros for an empty one."""
-        c = len(self.labels)
         distinct = list(set().union(*split)) if split else []
         number = {w: i for i, w in enumerate(distinct)}
-        table = self.emissions(distinct)
         n = np.fromiter(map(len, split), np.int64, len(split))
-        ids = np.fromiter((number[w] for s in split for w in s), np.int64, int(n.sum()))
-        out = np.zeros((len(split), c))
+        return self.coded(distinct, np.fromiter((number[w] for s in split for w in s), np.int64, int(n.sum())), n)
+
+    def coded(self, distinct: list[str], ids: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Mean marginals of texts of ``n`` words each, given as numbers of distinct words."""
+        c = len(self.labels)
+        table = self.emissions(distinct)
+        out = np.zeros((len(n), c))
         if not len(ids):
             return out
-        doc = np.repeat(np.arange(len(split)), n)
+        doc = np.repeat(np.arange(len(n)), n)
         at = np.arange(len(ids)) - np.repeat(np.cumsum(n) - n, n)
         begins = np.flatnonzero(at % CHAIN == 0)
         size = np.diff(np.append(begins, len(ids)))
@@ -149,7 +152,7 @@ class Crf:
                 sums = (p * mask[:, :, None]).sum(1)
                 owner = doc[begins[part]]
                 for k in range(c):
-                    out[:, k] += np.bincount(owner, sums[:, k], len(split))
+                    out[:, k] += np.bincount(owner, sums[:, k], len(n))
         return out / np.maximum(n, 1)[:, None]
 
 
@@ -257,16 +260,20 @@ def annotate(docs: DataFrame, most_docs: int = 3000, names: tuple[str, str] = ("
         for batch in batches:
             for lo in range(0, batch.num_rows, SLICE):
                 piece = batch.slice(lo, SLICE)
-                split = [chunks(t) for t in piece.column(text_at).cast(pa.string()).to_pylist()]
-                words = {c: word_of(c) for c in set().union(*split)}
-                split = [[w for c in s if (w := words[c])] for s in split]
+                split = Split(piece.column(text_at))
+                words = [word_of(c) for c in split.distinct]
+                split.drop([i for i, w in enumerate(words) if not w])
+                n = np.diff(split.ends)
                 if model.labels:
-                    p = np.round(model.documents(split), 6)
+                    distinct = sorted({w for w in words if w})
+                    number = {w: i for i, w in enumerate(distinct)}
+                    code = np.array([number.get(w, 0) for w in words], np.int64)
+                    p = np.round(model.coded(distinct, code[split.index] if len(split.index) else np.zeros(0, np.int64), n), 6)
                     best = p.argmax(1)
-                    lang = [model.labels[k] if s else "und" for k, s in zip(best.tolist(), split, strict=True)]
-                    score = np.where([bool(s) for s in split], np.clip(p[np.arange(len(split)), best], 0, 1), 0.0) if split else np.zeros(0)
+                    lang = [model.labels[k] if m else "und" for k, m in zip(best.tolist(), n.tolist(), strict=True)]
+                    score = np.where(n > 0, np.clip(p[np.arange(len(n)), best], 0, 1), 0.0)
                 else:
-                    lang, score = ["und"] * len(split), np.zeros(len(split))
+                    lang, score = ["und"] * len(n), np.zeros(len(n))
                 yield pa.record_batch([*piece.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=schema.names)
 
     return docs.mapInArrow(predict, schema)
