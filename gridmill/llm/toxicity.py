@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .chunks import chunks
+from .chunks import Split, chunks
 from .shared import most_frequent, stash
 
 DISCOUNT = 2.0
@@ -103,17 +103,17 @@ def score(docs: DataFrame, labels: DataFrame, most_labels: int = 20_000, most_wo
 
         train, _ = told.value
         for batch in batches:
-            seen: Counter = Counter()
+            split = Split(batch.column(1))
+            seen = dict(zip(split.distinct, split.counts().tolist(), strict=True))
             pairs: tuple[Counter, Counter] = (Counter(), Counter())
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                parts = chunks(text)
-                seen.update(parts)
                 if doc in train:
-                    words = [word_of(c) for c in parts]
+                    words = [word_of(c) for c in chunks(text)]
                     pairs[train[doc]].update(zip(["", *words], words))  # noqa: B905
             total: Counter = Counter()
             for c, n in seen.items():
-                total[word_of(c)] += n
+                if n:
+                    total[word_of(c)] += n
             head, word, kind, n = [], [], [], []
             for k, found in ((0, pairs[0]), (1, pairs[1])):
                 head += [p[0] for p in found]
@@ -147,11 +147,10 @@ def score(docs: DataFrame, labels: DataFrame, most_labels: int = 20_000, most_wo
         for batch in batches:
             for lo in range(0, batch.num_rows, 1500):
                 piece = batch.slice(lo, 1500)
-                split = [chunks(t) for t in piece.column(1).to_pylist()]
-                memo = {c: models.id.get(word_of(c), last) for c in set().union(*split)}
-                n = np.fromiter(map(len, split), np.int64, len(split))
-                ids = np.fromiter((memo[c] for s in split for c in s), np.int64, int(n.sum()))
-                first = np.cumsum(n) - n
+                split = Split(piece.column(1))
+                word = np.array([models.id.get(word_of(c), last) for c in split.distinct], np.int64)
+                n, first = np.diff(split.ends), split.ends[:-1]
+                ids = word[split.index] if len(split.index) else np.zeros(0, np.int64)
                 sums = np.add.reduceat(np.append(models.word[ids], 0.0), first) if len(n) else np.zeros(0)
                 # Sums are rounded so that they don't depend on what else is in the batch.
                 diff = np.where(n > 0, np.round(sums / np.maximum(n, 1), 9), 0.0)
