@@ -71,7 +71,7 @@ def tile_assign_counts(spark, d):
     return got.agg(F.count(F.lit(1)).alias("n"), F.sum("elev_dm").alias("elev_dm"))
 
 
-@query(f"SELECT event_id, {TID} AS tile_id, CAST(lat_floor AS DOUBLE) AS south, CAST(lng_floor AS DOUBLE) AS west, CAST(lat_floor + 1 AS DOUBLE) AS north, CAST(lng_floor + 1 AS DOUBLE) AS east, lat_floor + 0.5 AS mid_lat, lng_floor + 0.5 AS mid_lng, true AS inside FROM located")
+@query(f"SELECT event_id, {TID} AS tile_id, CAST(lat_floor AS DOUBLE) AS south, CAST(lng_floor AS DOUBLE) AS west, CAST(lat_floor + 1 AS DOUBLE) AS north, CAST(lng_floor + 1 AS DOUBLE) AS east, CAST(lat_floor AS DOUBLE) + 0.5 AS mid_lat, CAST(lng_floor AS DOUBLE) + 0.5 AS mid_lng, true AS inside FROM located")
 def tile_bounds_join(spark, d):
     p = located(spark, d)
     named = p.select("tile_id").distinct()
