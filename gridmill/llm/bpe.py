@@ -20,10 +20,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .automaton import Lexicon, build
-from .chunks import Split, chunks, core, worker_state
+from .chunks import Split, chunks, core, release, worker_state
 from .shared import most_frequent, put_file, stash
 
-SLICE = 3000  # documents of a batch that are split at a time
+SLICE = 1500  # documents of a batch that are split at a time
 LONG = 128  # bytes from which a word is merged on a heap
 
 
@@ -270,9 +270,11 @@ def compile_lexicon(docs: DataFrame, tokenizer: str, most: int = 100_000) -> byt
                 split = Split(batch.slice(lo, SLICE).column(0))
                 for c, n in zip(split.distinct, split.counts().tolist(), strict=True):
                     seen[c] += n
-                if len(seen) > 400_000:
+                if len(seen) > 250_000:
                     yield out()
+            release()
         yield out()
+        release()
 
     counted = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(count, "word string, n long")
     total = stash(counted.groupBy("word").agg(F.sum("n").alias("n")).filter("n > 1"), "words")
@@ -289,7 +291,7 @@ class ChunkMemo:
     those of the last texts stay, so frequent ones do and memory is bounded.
     """
 
-    def __init__(self, bpe: WordBpe, lexicon: Lexicon, most: int = 300_000):
+    def __init__(self, bpe: WordBpe, lexicon: Lexicon, most: int = 200_000):
         self.bpe, self.lexicon, self.most = bpe, lexicon, most
         self.number: dict[str, str] = {}
         self.back: dict[str, str] = {}
@@ -385,6 +387,10 @@ def encode_documents(docs: DataFrame, tokenizer: str, most: int = 100_000, texts
                     cols += [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), decoded.cast(pa.string())]
                     names += ["ids", "decoded"]
                 yield pa.record_batch(cols, names=names)
+                del split, told, read, written, decoded, cols
+            release()
+        del memo
+        release()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(encode, schema)

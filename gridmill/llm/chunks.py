@@ -102,6 +102,19 @@ def worker_state(key: str, make, version: str = ""):
     return held[key][1]
 
 
+def release() -> None:
+    """Give freed memory back to the system: a worker goes on to other stages, whose memory counts too."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 class LibraryEncoder:
     """Ids of whole texts by the tokenizers library, one call for many distinct unseen words.
 

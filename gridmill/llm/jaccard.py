@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .chunks import release
 from .shared import stash
 
 HASHES = 64
@@ -110,6 +111,7 @@ def sketch(docs: DataFrame, n: int) -> DataFrame:
                      pa.array([len(s) for s in sets], pa.int32()), pa.array([v.tobytes() for v in values])],
                     names=["doc_id", "a", "b", "size", "values"],
                 )
+            release()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, a long, b long, size int, values binary")
 

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .chunks import Split, chunks
+from .chunks import Split, chunks, release
 
 BUCKETS = 1 << 16
 GRAMS = (2, 3, 4)
@@ -275,6 +275,7 @@ def annotate(docs: DataFrame, most_docs: int = 3000, names: tuple[str, str] = ("
                 else:
                     lang, score = ["und"] * len(n), np.zeros(len(n))
                 yield pa.record_batch([*piece.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=schema.names)
+            release()
 
     return docs.mapInArrow(predict, schema)
 
