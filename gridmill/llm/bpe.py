@@ -23,7 +23,7 @@ from .automaton import Lexicon, build
 from .chunks import Split, chunks, core, release, worker_state
 from .shared import most_frequent, put_file, stash
 
-SLICE = 1500  # documents of a batch that are split at a time
+SLICE = 500  # documents of a batch that are split at a time
 LONG = 128  # bytes from which a word is merged on a heap
 
 
@@ -240,7 +240,7 @@ class WordBpe:
         return " ".join([self.text[i] for i in ids])
 
 
-def compile_lexicon(docs: DataFrame, tokenizer: str, most: int = 100_000) -> bytes:
+def compile_lexicon(docs: DataFrame, tokenizer: str, most: int = 50_000) -> bytes:
     """Count the words of all texts and compile at most the ``most`` frequent ones.
 
     Batches are counted before the shuffle.  ``most`` bounds the file, which
@@ -270,7 +270,7 @@ def compile_lexicon(docs: DataFrame, tokenizer: str, most: int = 100_000) -> byt
                 split = Split(batch.slice(lo, SLICE).column(0))
                 for c, n in zip(split.distinct, split.counts().tolist(), strict=True):
                     seen[c] += n
-                if len(seen) > 250_000:
+                if len(seen) > 150_000:
                     yield out()
             release()
         yield out()
@@ -291,7 +291,7 @@ class ChunkMemo:
     those of the last texts stay, so frequent ones do and memory is bounded.
     """
 
-    def __init__(self, bpe: WordBpe, lexicon: Lexicon, most: int = 200_000):
+    def __init__(self, bpe: WordBpe, lexicon: Lexicon, most: int = 100_000):
         self.bpe, self.lexicon, self.most = bpe, lexicon, most
         self.number: dict[str, str] = {}
         self.back: dict[str, str] = {}
@@ -346,7 +346,7 @@ class ChunkMemo:
             gc.enable()
 
 
-def encode_documents(docs: DataFrame, tokenizer: str, most: int = 100_000, texts: bool = False) -> DataFrame:
+def encode_documents(docs: DataFrame, tokenizer: str, most: int = 50_000, texts: bool = False) -> DataFrame:
     """Encode and decode every text: doc_id, n_tokens, ids_sha256, decoded_sha256.
 
     Null and empty texts have no ids and decode to the empty text.  Rows are independent: repeated rows,
