@@ -35,7 +35,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every row, with sums of the ids and of the decoded text."""
-    return bpe.encode_documents(docs, word_vocabulary(), texts=True).drop("decoded")
+    return bpe.encode_documents(docs, word_vocabulary(), texts=True, slice_docs=500, memo_chunks=100_000).drop("decoded")
 
 
 STAGES = [

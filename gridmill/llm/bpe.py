@@ -23,7 +23,6 @@ from .automaton import Lexicon, build
 from .chunks import Split, chunks, core, release, worker_state
 from .shared import most_frequent, put_file, stash
 
-SLICE = 500  # documents of a batch that are split at a time
 LONG = 128  # bytes from which a word is merged on a heap
 
 
@@ -266,12 +265,12 @@ def compile_lexicon(docs: DataFrame, tokenizer: str, most: int = 50_000) -> byte
             return pa.record_batch([pa.array(total.keys(), pa.string()), pa.array(total.values(), pa.int64())], names=["word", "n"])
 
         for batch in batches:
-            for lo in range(0, batch.num_rows, SLICE):
-                split = Split(batch.slice(lo, SLICE).column(0))
-                for c, n in zip(split.distinct, split.counts().tolist(), strict=True):
-                    seen[c] += n
-                if len(seen) > 150_000:
-                    yield out()
+            # A batch holds each of its chunks once, whatever its size.
+            split = Split(batch.column(0))
+            for c, n in zip(split.distinct, split.counts().tolist(), strict=True):
+                seen[c] += n
+            if len(seen) > 150_000:
+                yield out()
             release()
         yield out()
         release()
@@ -291,7 +290,7 @@ class ChunkMemo:
     those of the last texts stay, so frequent ones do and memory is bounded.
     """
 
-    def __init__(self, bpe: WordBpe, lexicon: Lexicon, most: int = 100_000):
+    def __init__(self, bpe: WordBpe, lexicon: Lexicon, most: int):
         self.bpe, self.lexicon, self.most = bpe, lexicon, most
         self.number: dict[str, str] = {}
         self.back: dict[str, str] = {}
@@ -346,12 +345,13 @@ class ChunkMemo:
             gc.enable()
 
 
-def encode_documents(docs: DataFrame, tokenizer: str, most: int = 50_000, texts: bool = False) -> DataFrame:
+def encode_documents(docs: DataFrame, tokenizer: str, most: int = 50_000, texts: bool = False, slice_docs: int = 1500, memo_chunks: int = 250_000) -> DataFrame:
     """Encode and decode every text: doc_id, n_tokens, ids_sha256, decoded_sha256.
 
     Null and empty texts have no ids and decode to the empty text.  Rows are independent: repeated rows,
     null ids and other columns change nothing, and an empty table gives an empty result.  With ``texts``
-    the ids themselves (``ids``, array of int) and ``decoded`` follow.
+    the ids themselves (``ids``, array of int) and ``decoded`` follow.  ``slice_docs`` documents are split at
+    a time and ``memo_chunks`` chunks remembered: less of either is slower and takes less memory.
     """
     spark = docs.sparkSession
     import hashlib
@@ -365,10 +365,10 @@ def encode_documents(docs: DataFrame, tokenizer: str, most: int = 50_000, texts:
         from pyspark import SparkFiles
 
         bpe = worker_state("bpe", lambda: WordBpe(tokenizer), tokenizer)
-        memo = ChunkMemo(bpe, Lexicon(SparkFiles.get(name)))
+        memo = ChunkMemo(bpe, Lexicon(SparkFiles.get(name)), memo_chunks)
         for batch in batches:
-            for lo in range(0, batch.num_rows, SLICE):
-                piece = batch.slice(lo, SLICE)
+            for lo in range(0, batch.num_rows, slice_docs):
+                piece = batch.slice(lo, slice_docs)
                 split = Split(piece.column(1))
                 number, back = memo.learn(split.distinct)
                 told, read = [number[c] for c in split.distinct], [back[c] for c in split.distinct]
