@@ -6,11 +6,11 @@
    their Jaccard index.  A run of the join chooses a path: at each level it samples positions and splits
    the bucket by the values there, until buckets have at most ``SMALL`` classes.  Small buckets are compared
    by brute force on the embedded values, pairs that may reach the threshold become candidates (of a bucket
-   with many, a spanning forest).  Runs with other samples follow until the recall aimed at: a pair at the threshold survives one run's levels with a
-   known probability, see :func:`runs_needed`.
-3. Buckets that stay large after the last level hold sets that agree in many sampled values.  They are cut
-   into blocks of ``SMALL`` dealt by a hash, each with the bucket's first classes as common members, so
-   groups of near copies of any size are chained together without ever being in one task.
+   with many, a spanning forest).  Runs with other samples follow until the recall aimed at: a pair at the
+   threshold survives one run's levels with a known probability, see :func:`runs_needed`.
+3. Buckets that stay large after the last level are compared whole as well: they are dealt into blocks of
+   ``PART`` and each pair of blocks is one unit of work.  So no pair that shares a bucket is lost, whatever
+   the bucket's size, and the number of runs holds for all; the price is the square of such a bucket's size.
 4. Candidates connect classes to *groups*.  Within a group every pair is checked exactly on the full sets:
    large groups in pairs of blocks.  Verified links give each class its number of links, and the connected
    classes by verified links are the result.
@@ -31,7 +31,8 @@ from .shared import stash
 
 HASHES = 64
 SMALL = 48
-LEVELS = (1, 3, 6, 12)  # sampled positions in a bucket's path, by level
+PART = 1024  # classes of a large bucket in a block
+LEVELS = (1, 3)  # sampled positions in a bucket's path, by level
 SHINGLE = 5
 BLOCK = 256  # classes of a group that are checked together
 
@@ -198,10 +199,81 @@ def compare(buckets: DataFrame, least: float) -> DataFrame:
     return buckets.repartition("key").sortWithinPartitions("key", "rep").mapInArrow(run, "a long, b long")
 
 
+def forest(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
+    """The least node of each node's connected component, of ``n`` nodes and edges from ``i`` to ``j``."""
+    root = np.arange(n)
+    while True:
+        new = root.copy()
+        low = np.minimum(root[i], root[j])
+        np.minimum.at(new, root[i], low)
+        np.minimum.at(new, root[j], low)
+        while (new[new] != new).any():
+            new = new[new]
+        if (new == root).all():
+            return root
+        root = new
+
+
+def compare_large(large: DataFrame, least: float) -> DataFrame:
+    """Candidate pairs (a, b), a < b, of buckets (key, run, n, rep, values) of any size: a forest of each unit.
+
+    A unit is a block with itself or a pair of blocks, so every pair of a bucket's classes is in one unit.
+    """
+    own = large.withColumn("many", F.ceil(F.col("n") / PART).cast("int"))
+    own = own.withColumn("i", F.pmod(F.xxhash64("rep", "run"), F.col("many")).cast("int"))
+    unit = own.select("key", "i", "rep", "values", F.explode(F.sequence(F.lit(0), F.col("many") - 1)).alias("j"))
+    unit = unit.select("key", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"), "i", "rep", "values")
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        held: dict = {"unit": None, "parts": []}
+
+        def flush():
+            if not held["parts"]:
+                return
+            side, rep, data = (np.concatenate(x) for x in zip(*held["parts"], strict=True))
+            held["parts"] = []
+            _, lo, hi = held["unit"]
+            left, right = np.flatnonzero(side == lo), np.flatnonzero(side == hi)
+            at = max(1, (1 << 22) // max(1, len(right)))  # a block may be larger than PART by chance
+            i, j = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for k in range(0, len(left), at):
+                x = left[k : k + at]
+                alike = np.zeros((len(x), len(right)), np.uint8)
+                for c in range(HASHES):
+                    alike += data[x, c][:, None] == data[right, c][None, :]
+                u, v = np.nonzero(alike >= least * HASHES)
+                i.append(x[u])
+                j.append(right[v])
+            root = forest(np.concatenate(i), np.concatenate(j), len(rep))
+            k = np.flatnonzero(root != np.arange(len(rep)))
+            out = np.sort(np.stack([rep[root[k]], rep[k]], 1), 1)
+            yield pa.record_batch([pa.array(out[:, 0]), pa.array(out[:, 1])], names=["a", "b"])
+
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            key, lo, hi, side, rep = (batch.column(k).to_numpy() for k in range(5))
+            data = np.frombuffer(b"".join(batch.column(5).to_pylist()), np.uint32).reshape(n, HASHES)
+            new = (key[1:] != key[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])
+            begin = np.flatnonzero(np.append(True, new)).tolist()
+            for u, v in zip(begin, [*begin[1:], n], strict=True):
+                if held["unit"] != (key[u], lo[u], hi[u]):
+                    yield from flush()
+                    held["unit"] = (key[u], lo[u], hi[u])
+                held["parts"].append((side[u:v], rep[u:v], data[u:v]))
+        yield from flush()
+
+    return unit.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "rep").mapInArrow(run, "a long, b long")
+
+
 def candidates(classes: DataFrame, threshold: float, runs: int, margin: float = 0.17) -> DataFrame:
     """Pairs of classes that may reach the threshold, by runs of the chosen path.
 
-    ``margin`` covers the error of the embedding: over three standard deviations at the threshold.
+    ``margin`` covers the error of the embedding: over three standard deviations at the threshold.  Buckets
+    that are still large at the last level, for which ``runs`` is reckoned, are compared whole.
     """
     least = threshold - margin
     values = classes.select("rep", "values")
@@ -216,28 +288,13 @@ def candidates(classes: DataFrame, threshold: float, runs: int, margin: float =
         if large.isEmpty():
             break
     else:
-        found.append(compare(blocks(large).join(values, "rep").select("key", "rep", "values"), least))
+        found.append(compare_large(large.join(values, "rep"), least))
     out = found[0]
     for x in found[1:]:
         out = out.unionByName(x)
     return stash(out.distinct(), "path-pairs")
 
 
-def blocks(large: DataFrame, common: int = 8) -> DataFrame:
-    """(key, rep): blocks of buckets that stayed large; the first few members are in every block."""
-    many = F.ceil(F.col("n") / (SMALL // 2)).cast("int")
-
-    def block(i):
-        return F.xxhash64("key", i.cast("int")).alias("block")
-
-    dealt = large.select(block(F.pmod(F.xxhash64("rep", "run"), many)), "rep")
-    order = W.partitionBy("key").orderBy(F.xxhash64("rep"), "rep")
-    # Each task keeps its own first members before the shuffle.
-    first = large.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= common)
-    shared = first.select("key", "rep", F.explode(F.sequence(F.lit(0), many - 1)).alias("i")).select(block(F.col("i")), "rep")
-    return dealt.unionByName(shared).distinct().withColumnRenamed("block", "key")
-
-
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, root): the least node of each connected component of ``edges`` (a, b).
 

@@ -191,6 +191,22 @@ def test_jaccard_equals_brute_force(spark):
     assert {r.doc_id for r in stay.collect()} == set(first.values())
 
 
+def test_jaccard_recall_in_a_large_family(spark):
+    rng = np.random.default_rng(1)
+    n, planted = 6000, 600
+    # Three passages stand at each place: pairs share a third of the values, and no bucket gets small by one of them.
+    which = rng.integers(0, 3, (n, jaccard.HASHES))
+    for k in range(planted):  # the second of a pair has another passage in one place of five
+        which[2 * k + 1] = which[2 * k]
+        which[2 * k + 1, rng.permutation(jaccard.HASHES)[:13]] += 1
+    values = (which % 3 + 3 * np.arange(jaccard.HASHES)).astype(np.uint32)
+    rep = rng.permutation(n) + 1
+    rows = spark.createDataFrame([(int(r), v.tobytes()) for r, v in zip(rep, values, strict=True)], "rep long, values binary")
+    got = {tuple(r) for r in jaccard.candidates(rows, 0.8, jaccard.runs_needed(0.8)).collect()}
+    found = sum((min(a, b), max(a, b)) in got for a, b in zip(rep[: 2 * planted : 2].tolist(), rep[1 : 2 * planted : 2].tolist(), strict=True))
+    assert found >= 0.985 * planted, found
+
+
 def test_topk_equals_brute_force(spark):
     rng = np.random.default_rng(0)
     x = rng.normal(size=(700, 8)).round(1).astype(np.float32)
