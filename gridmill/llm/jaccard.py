@@ -295,24 +295,24 @@ def candidates(classes: DataFrame, threshold: float, runs: int, margin: float =
     return stash(out.distinct(), "path-pairs")
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, root): the least node of each connected component of ``edges`` (a, b).
 
-    Every node takes the least root among its own and its neighbours', then its root's root; each round is
-    a written table, so nothing is lost with an executor and plans stay short.
+    Every node and its root take the least root among the node's neighbours', then their root's root, until
+    nothing moves; as roots are hooked too, rounds grow with the logarithm of a component's size, chains
+    included.  Each round is a written table, so nothing is lost with an executor and plans stay short.
     """
     both = stash(edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).distinct(), "edges")
     label = stash(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("root")), "roots")
-    for _ in range(rounds):
+    while True:
         near = both.join(label.select(F.col("node").alias("b"), "root"), "b").groupBy("a").agg(F.min("root").alias("m"))
-        hop = label.join(near, F.col("node") == F.col("a")).select("node", F.col("root").alias("was"), F.least("root", "m").alias("root"))
+        low = stash(label.join(near, F.col("node") == F.col("a")).select("node", "root", F.least("root", "m").alias("m")), "near-roots")
+        if low.filter("m < root").isEmpty():  # neighbours agree everywhere
+            return label
+        hook = low.filter("m < root").groupBy(F.col("root").alias("r")).agg(F.min("m").alias("hook"))
         jump = label.select(F.col("node").alias("r"), F.col("root").alias("rr"))
-        now = stash(hop.join(jump, F.col("root") == F.col("r"), "left").select("node", "was", F.least("root", F.coalesce("rr", "root")).alias("root")), "roots")
-        moved = not now.filter(F.col("was") != F.col("root")).isEmpty()
-        label = now.select("node", "root")
-        if not moved:
-            break
-    return label
+        to = jump.join(hook, "r", "left").select("r", F.least("rr", "hook").alias("rr"))
+        label = stash(low.join(hook.withColumnRenamed("r", "root"), "root", "left").select("node", F.least("m", "hook").alias("r")).join(to, "r").select("node", F.least("r", "rr").alias("root")), "roots")
 
 
 def verify(members: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:

@@ -207,6 +207,15 @@ def test_jaccard_recall_in_a_large_family(spark):
     assert found >= 0.985 * planted, found
 
 
+def test_components_of_long_chains(spark):
+    rng = np.random.default_rng(2)
+    ids = (rng.permutation(2000) - 1000).tolist()
+    chain, rising = ids[:1000], sorted(ids[1000:])
+    edges = [*zip(chain[:-1], chain[1:], strict=True), *zip(rising[1:], rising[:-1], strict=True)]
+    got = dict(map(tuple, jaccard.components(spark.createDataFrame(edges, "a long, b long")).collect()))
+    assert got == {k: min(c) for c in (chain, rising) for k in c}
+
+
 def test_topk_equals_brute_force(spark):
     rng = np.random.default_rng(0)
     x = rng.normal(size=(700, 8)).round(1).astype(np.float32)
