@@ -95,7 +95,7 @@ def embed(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def sketch(docs: DataFrame, n: int) -> DataFrame:
-    """(doc_id, a, b, size, values): 128-bit signature of each document's set, its size and embedding."""
+    """(doc_id, a, b, size, values, text_hash): 128-bit signature of each document's set, its size and embedding."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -109,12 +109,13 @@ def sketch(docs: DataFrame, n: int) -> DataFrame:
                 data = [s.tobytes() for s in sets]
                 yield pa.record_batch(
                     [piece.column(0), pa.array(np.array([xxhash.xxh3_64_intdigest(d) for d in data], np.uint64).view(np.int64)), pa.array(np.array([xxhash.xxh3_64_intdigest(d, 1) for d in data], np.uint64).view(np.int64)),
-                     pa.array([len(s) for s in sets], pa.int32()), pa.array([v.tobytes() for v in values])],
-                    names=["doc_id", "a", "b", "size", "values"],
+                     pa.array([len(s) for s in sets], pa.int32()), pa.array([v.tobytes() for v in values]), piece.column(2)],
+                    names=["doc_id", "a", "b", "size", "values", "text_hash"],
                 )
             release()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, a long, b long, size int, values binary")
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash")).mapInArrow(run, "doc_id long, a long, b long, size int, values binary, text_hash long")
 
 
 def paths(rows: DataFrame, runs: int, level: int) -> DataFrame:
@@ -386,23 +387,20 @@ def verify(members: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     return done.select("rep", "root", "whole"), done.groupBy("rep").agg(F.sum("links").alias("links"))
 
 
-def join_documents(docs: DataFrame, threshold: float = 0.8, n: int = SHINGLE, recall: float = 0.999) -> DataFrame:
-    """doc_id, class_id, n_links for every row of ``docs`` (doc_id, text).
+def place(docs: DataFrame, threshold: float, n: int, recall: float) -> DataFrame:
+    """doc_id, text_hash, root, n_links for every row of ``docs``; the rows of one ``root`` are one class.
 
-    ``class_id`` is the least doc_id of the documents that verified links connect; ``n_links`` is how many
-    different other sets the document's set links to (its copies have the same number).  Null and empty
-    texts have the empty set and are copies of each other; a text of fewer than ``n`` words is one n-gram.
-    Sets are told apart by a 64-bit hash.  Repeated rows and ids, null too, are copies or links like any
-    other row; other columns are ignored; an empty table gives an empty result.
+    Ids may be null or stand for several texts, so a row is known by doc_id and text hash together.
     """
-    slim = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    text = F.col("text").cast("string")
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
     drawn = stash(sketch(slim, n), "sketches")
-    classes = stash(drawn.groupBy("a").agg(F.min("doc_id").alias("doc_id"), F.first("size").alias("size"), F.first("values").alias("values")).withColumnRenamed("a", "rep"), "classes")
+    classes = stash(drawn.groupBy("a").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"), F.first("size").alias("size"), F.first("values").alias("values")).withColumnRenamed("a", "rep"), "classes")
     pairs = candidates(classes.filter("size > 0"), threshold, runs_needed(threshold, recall))
     groups = components(pairs)
     sizes = groups.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
-    members = groups.join(sizes, "root").join(classes.select("rep", "doc_id"), F.col("node") == F.col("rep")).select(F.col("root").alias("grp"), "n", "rep", F.col("doc_id").alias("first"))
-    texts = slim.join(members, F.col("doc_id").eqNullSafe(F.col("first"))).select("grp", "n", "rep", "text")
+    members = groups.join(sizes, "root").join(classes.select("rep", "first"), F.col("node") == F.col("rep")).select(F.col("root").alias("grp"), "n", "rep", F.col("first.doc_id").alias("first"), F.col("first.text_hash").alias("first_hash"))
+    texts = slim.join(members, F.col("doc_id").eqNullSafe(F.col("first")) & (F.col("text_hash") == F.col("first_hash"))).select("grp", "n", "rep", "text")
 
     def full(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -413,7 +411,7 @@ def join_documents(docs: DataFrame, threshold: float = 0.8, n: int = SHINGLE, re
                 piece = batch.slice(lo, 1000)
                 data = [shingles(w, n).tobytes() for w in word_hashes(piece.column(3).to_pylist())]
                 own = np.array([xxhash.xxh3_64_intdigest(d) for d in data], np.uint64).view(np.int64)
-                right = pa.array(own == piece.column(2).to_numpy())  # a doc_id may have other texts
+                right = pa.array(own == piece.column(2).to_numpy())  # hashes of texts may meet
                 yield pa.record_batch([piece.column(0), piece.column(1), piece.column(2), pa.array(data, pa.binary())], names=["grp", "n", "rep", "set"]).filter(right)
 
     edges, links = verify(texts.mapInArrow(full, "grp long, n long, rep long, set binary"), threshold)
@@ -421,17 +419,35 @@ def join_documents(docs: DataFrame, threshold: float = 0.8, n: int = SHINGLE, re
     large = edges.filter("NOT whole AND rep <> root").select(F.col("rep").alias("a"), F.col("root").alias("b"))
     if not large.isEmpty():
         roots = roots.unionByName(components(large).toDF("rep", "root"))
-    known = drawn.select("doc_id", F.col("a").alias("rep")).join(roots.join(links, "rep"), "rep", "left")
+    known = drawn.select("doc_id", "text_hash", F.col("a").alias("rep")).join(roots.join(links, "rep"), "rep", "left")
     root = F.coalesce("root", "rep").alias("root")
-    placed = known.select("doc_id", root, F.coalesce("links", F.lit(0)).cast("long").alias("n_links"))
+    return known.select("doc_id", "text_hash", root, F.coalesce("links", F.lit(0)).cast("long").alias("n_links"))
+
+
+def join_documents(docs: DataFrame, threshold: float = 0.8, n: int = SHINGLE, recall: float = 0.999) -> DataFrame:
+    """doc_id, class_id, n_links for every row of ``docs`` (doc_id, text).
+
+    ``class_id`` is the least doc_id of the documents that verified links connect; ``n_links`` is how many
+    different other sets the document's set links to (its copies have the same number).  Null and empty
+    texts have the empty set and are copies of each other; a text of fewer than ``n`` words is one n-gram.
+    Sets are told apart by a 64-bit hash.  Repeated rows and ids, null too, are copies or links like any
+    other row; other columns are ignored; an empty table gives an empty result.
+    """
+    placed = place(docs, threshold, n, recall).drop("text_hash")
     # A table of its own, so that the join's hot partitions can be split.
     least = stash(placed.groupBy("root").agg(F.min("doc_id").alias("class_id")), "least")
     return placed.join(least, "root").select("doc_id", "class_id", "n_links")
 
 
 def keep_one(docs: DataFrame, threshold: float = 0.8, n: int = SHINGLE) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the least of their class; of repeated rows one stays."""
-    got = join_documents(docs, threshold, n)
-    stay = got.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("__id")).distinct()
-    first = W.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col("__id"))).drop("__id").withColumn("__k", F.row_number().over(first)).filter("__k = 1").drop("__k")
+    """One row of ``docs`` for each class: that of least doc_id, then least text hash; null ids come last.
+
+    Ids may be null or reused: rows of different classes stay whatever their ids.
+    """
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    best = place(docs, threshold, n, 0.999).groupBy("root").agg(F.min(order).alias("best"))
+    stay = best.select(F.col("best.doc_id").alias("__id"), F.col("best.text_hash").alias("__hash"))
+    rows = docs.withColumn("__text", F.xxhash64(F.col("text").cast("string")))
+    kept = rows.join(stay, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__hash")))
+    first = W.partitionBy("__id", "__hash").orderBy(F.lit(0))  # rows that repeat doc_id and text
+    return kept.withColumn("__k", F.row_number().over(first)).filter("__k = 1").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -216,6 +216,19 @@ def test_components_of_long_chains(spark):
     assert got == {k: min(c) for c in (chain, rising) for k in c}
 
 
+def test_keep_one_of_null_and_reused_ids(spark):
+    rng = np.random.default_rng(3)
+    words = np.array([f"v{i}" for i in range(3000)])
+    text = [" ".join(rng.choice(words, 60)) for _ in range(14)]
+    near = text[0] + " more"
+    # Unrelated texts without ids, under one id, a copy and a near copy beside a text of its own, a repeated row.
+    rows = [(None, text[i]) for i in range(6)] + [(9, text[i]) for i in range(6, 10)]
+    rows += [(3, near), (9, text[1]), (3, text[10]), (4, text[10]), (5, text[11]), (5, text[11]), (None, text[1]), (None, text[12]), (None, text[12]), (None, ""), (7, None)]
+    got = sorted((r.doc_id, r.text) for r in jaccard.keep_one(table(spark, [(i, t, "en", "s") for i, t in rows])).fillna({"doc_id": -1}).fillna("?", ["text"]).collect())
+    want = [(-1, text[i]) for i in (2, 3, 4, 5, 12)] + [(9, text[i]) for i in range(6, 10)] + [(3, near), (9, text[1]), (3, text[10]), (5, text[11]), (7, "?")]
+    assert got == sorted(want)
+
+
 def test_topk_equals_brute_force(spark):
     rng = np.random.default_rng(0)
     x = rng.normal(size=(700, 8)).round(1).astype(np.float32)
