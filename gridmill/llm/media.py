@@ -138,7 +138,7 @@ def header_columns(head: bytes) -> tuple[str, int, int, str]:
 
 
 def read_media(at: DataFrame) -> DataFrame:
-    """Read the stored bytes of each digest back: sums of the stored form and of the payload."""
+    """Read the stored bytes of each digest back: size and sums of the payload, sum of the stored form."""
 
     def read(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -149,18 +149,19 @@ def read_media(at: DataFrame) -> DataFrame:
             out = []
             for digest, shard, offset, length in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 data = get(shard).read_at(HEADER + length, offset)
-                _, media_bytes, size, feature = header_columns(data[: HEADER + FRAME])
-                frame = data[HEADER : HEADER + media_bytes]
+                frame = data[HEADER : HEADER + header_columns(data[: HEADER + FRAME])[1]]
                 payload = open_up.decompress(frame)
-                out.append((digest, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-UNIT:]), len(frame), hashlib.sha256(frame).hexdigest(), feature))
+                out.append((digest, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-UNIT:]), hashlib.sha256(frame).hexdigest()))
             if out:
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()), strict=True)], names=["digest", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string()), strict=True)], names=["digest", "payload_bytes", "payload_sha256", "tail_crc32", "media_sha256"])
 
-    return _by_shard(at).mapInArrow(read, "digest string, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    return _by_shard(at).mapInArrow(read, "digest string, payload_bytes long, payload_sha256 string, tail_crc32 long, media_sha256 string")
 
 
 def media_columns(docs: DataFrame) -> DataFrame:
-    """Store all texts and fill every row's columns from what is read back."""
+    """Store all texts and fill every row's columns: metadata from headers, sums from the bytes read back."""
     index = store(docs)
-    got = stash(read_media(places(index)), "media-read")
+    at = stash(places(index), "media-places")
+    heads = read_metadata(at).select("digest", "media_bytes", "feature")
+    got = stash(read_media(at).join(heads, "digest"), "media-read")
     return index.join(got, "digest").select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "digest", "shard", "offset", "length")

@@ -229,6 +229,13 @@ def test_keep_one_of_null_and_reused_ids(spark):
     assert got == sorted(want)
 
 
+def test_media_metadata_come_from_headers(docs, monkeypatch):
+    read = media.read_metadata
+    monkeypatch.setattr(media, "read_metadata", lambda at: read(at).withColumn("media_bytes", F.col("media_bytes") + 1_000_000).withColumn("feature", F.lit("head")))
+    got = media.media_columns(docs).collect()
+    assert got and all(r.media_bytes > 1_000_000 and r.feature == "head" for r in got)
+
+
 def test_topk_equals_brute_force(spark):
     rng = np.random.default_rng(0)
     x = rng.normal(size=(700, 8)).round(1).astype(np.float32)
