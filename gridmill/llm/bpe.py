@@ -277,7 +277,7 @@ def compile_lexicon(docs: DataFrame, tokenizer: str, most: int = 50_000) -> byte
 
     counted = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(count, "word string, n long")
     total = stash(counted.groupBy("word").agg(F.sum("n").alias("n")).filter("n > 1"), "words")
-    top = most_frequent(total, "n", most)
+    top = most_frequent(total, "n", most, "word")
     bpe = WordBpe(tokenizer)
     words = [r.word for r in top.select("word").collect() if r.word not in bpe.special]
     return build(dict(zip(words, bpe.encode_words(words), strict=True)))

@@ -1,7 +1,7 @@
 """The folder that driver and executors share, and tables written there to cut lineage.
 
-``spark.checkpoint.dir`` names the folder.  Only where it is unset (tests, a single machine) a fresh
-temporary folder is used.  Tables written here survive the loss of any executor.
+``spark.checkpoint.dir`` names the folder.  Only where it is unset and Spark runs on this machine alone
+(tests) a fresh temporary folder is used.  Tables written here survive the loss of any executor.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ def shared_dir(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     app = spark.sparkContext.applicationId
     if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         if app not in _FALLBACK:
             _FALLBACK[app] = "file://" + tempfile.mkdtemp(prefix="gridmill-")
         base = _FALLBACK[app]
@@ -71,18 +73,33 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def most_frequent(counts: DataFrame, n: str, most: int) -> DataFrame:
-    """At most ``most`` rows of ``counts``: those whose ``n`` reaches a bound that no sort has to find.
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names like ``names`` that no column of ``df`` has, whatever its case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
-    The bound comes from the number of rows of each value of ``n``; rows at the bound stay only if all do.
+
+def most_frequent(counts: DataFrame, n: str, most: int, key: str) -> DataFrame:
+    """About the ``most`` rows of ``counts`` (key, n) of greatest ``n``, without a sort.
+
+    Rows are counted by eighths of powers of two of ``n``.  The highest classes stay whole; of the one that
+    would go beyond ``most`` a share by the hash of ``key`` stays, so ties of any number leave some.
     """
     from pyspark.sql import functions as F
 
-    values = counts.groupBy(F.col(n).alias("v")).agg(F.count(F.lit(1)).alias("rows")).orderBy(F.desc("v")).limit(10_000).collect()
-    total, bound = 0, None
-    for r in values:
-        total += r.rows
-        if total > most:
+    parts = 1 << 20
+    kind = F.floor(F.log2(F.col(n).cast("double")) * 8).cast("int")
+    room, bound, share = most, None, 0
+    for r in sorted(counts.filter(F.col(n) > 0).groupBy(kind.alias("v")).agg(F.count(F.lit(1)).alias("rows")).collect(), reverse=True):
+        bound, share = r.v, parts if r.rows <= room else parts * room // r.rows
+        if share < parts:
             break
-        bound = r.v
-    return counts.filter(F.lit(False) if bound is None else F.col(n) >= bound)
+        room -= r.rows
+    if bound is None:
+        return counts.filter(F.lit(False))
+    return counts.filter((F.col(n) > 0) & ((kind > bound) | ((kind == bound) & (F.pmod(F.xxhash64(key), F.lit(parts)) < share))))
