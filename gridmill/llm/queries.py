@@ -118,15 +118,15 @@ OP5_SQL = r"""
 WITH l AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents WHERE text IS NOT NULL
 ), f AS (
-  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS s, len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) >= 50 AS long
-  FROM l WHERE NOT regexp_full_match(x, '[\x09-\x0D\x20]*')
-), w AS (
-  SELECT doc_id, i, i AS j, x, NULL AS y FROM f WHERE long
-  UNION ALL SELECT a.doc_id, a.i, b.i, a.x, b.x FROM f a JOIN f b ON a.doc_id = b.doc_id AND b.s = a.s + 1
+  SELECT *, len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) AS n FROM l WHERE NOT regexp_full_match(x, '[\x09-\x0D\x20]*')
+), o AS (
+  SELECT doc_id, i, x, n, lead(x) OVER u AS y, lead(x, 2) OVER u AS z, lead(n) OVER u AS ny, lead(i) OVER u AS j, lead(i, 2) OVER u AS k FROM f WINDOW u AS (PARTITION BY doc_id ORDER BY i)
+), m AS (
+  SELECT *, CASE WHEN n >= 12 THEN 1 WHEN n + ny >= 12 THEN 2 WHEN z IS NOT NULL THEN 3 END AS m FROM o
 ), g AS (
-  SELECT *, row_number() OVER (PARTITION BY x, y ORDER BY doc_id, i) AS k FROM w
+  SELECT *, row_number() OVER (PARTITION BY m, x, CASE WHEN m > 1 THEN y END, CASE WHEN m > 2 THEN z END ORDER BY doc_id, i) AS r FROM m WHERE m IS NOT NULL
 ), d AS (
-  SELECT doc_id, i FROM g WHERE k > 1 UNION SELECT doc_id, j FROM g WHERE k > 1
+  SELECT doc_id, i FROM g WHERE r > 1 UNION SELECT doc_id, j FROM g WHERE r > 1 AND m > 1 UNION SELECT doc_id, k FROM g WHERE r > 1 AND m > 2
 ), t AS (
   SELECT l.doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(count(d.i) AS BIGINT) AS n_removed,
     coalesce(string_agg(CASE WHEN d.i IS NULL THEN x END, chr(10) ORDER BY l.i), '') AS kept
