@@ -6,17 +6,20 @@ string is called a window.
 1. Every window has an *anchor*, the ``GRAM``-byte string of least hash in it (the leftmost of equals).
    Equal windows have equal anchors at equal places, so it is enough to compare windows of one anchor.
    Consecutive windows with one anchor are a *segment*: its text, with the anchor's key and a text hash.
-2. Segments whose key and hash occur again are repeated throughout, without a look at their text.  Of the
-   other keys only those with several different segments can hold equal windows: their segments' texts,
-   one of each, are dealt out by key into shards.
+2. A key with one segment in the whole corpus can't hold a repeat.  The segments of all other keys, equal
+   ones once with their number, are dealt out by key into shards.
 3. A shard gets a suffix array by Larsson-Sadakane refinement (ranks double their depth, only groups that
    are still tied are sorted again) and Kasai's common prefixes.  Neighbours with ``length`` bytes in
-   common are equal windows.
+   common are equal windows; a class of them whose segments stand more than once in all is repeated, and
+   its bytes go wherever those segments stand.
 4. A key with very many segments is split over several shards.  Each sends the sorted fingerprints of its
    windows, cut at common bounds by binary search; for each range the shards' lists are merged by binary
    search, and what several shards hold goes back to them.
 
 No step collects the segments of a key, a document's partners or pairs in one place.
+
+Segments count as equal if key, text hash (64 bits each) and size are; split keys compare windows by two
+64-bit fingerprints.  All else compares bytes.
 """
 
 from __future__ import annotations
@@ -32,8 +35,8 @@ from .shared import stash
 
 GRAM = 32
 SLICE = 1 << 22  # bytes that are hashed at a time
-SHARD = 1 << 22  # bytes of a suffix array
-HOT = 4096  # segments of a key in one shard
+SHARD = 1 << 18  # bytes of a suffix array, which then stays in the processor's cache
+HOT = 1024  # segments of a key in one shard
 BASE = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
 
@@ -242,7 +245,7 @@ def _draw(rows: DataFrame, length: int) -> DataFrame:
 
 def _texts(rows: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """The segments of ``wanted`` with their bytes."""
-    by_doc = wanted.groupBy(F.col("doc_id").alias("d"), F.col("th").alias("h")).agg(F.collect_list(F.struct("start", "windows", "key", "salt", "n")).alias("w"))
+    by_doc = wanted.groupBy(F.col("doc_id").alias("d"), F.col("th").alias("h")).agg(F.collect_list(F.struct("start", "windows", "key", "salt", "n", "s")).alias("w"))
     both = rows.join(by_doc, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("h"))).select("doc_id", "th", "text", "w")
 
     def cut(batches: Iterator) -> Iterator:
@@ -254,69 +257,64 @@ def _texts(rows: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                 out = []
                 for k, (text, w) in enumerate(zip(piece.column(2).to_pylist(), piece.column(3).to_pylist(), strict=True)):
                     data = (text or "").encode()
-                    out += [(k, x["start"], x["windows"], x["key"], x["salt"], x["n"], data[x["start"] : x["start"] + x["windows"] + length - 1]) for x in w]
-                col = list(zip(*out, strict=True)) or [()] * 7
+                    out += [(k, x["start"], x["windows"], x["key"], x["salt"], x["n"], x["s"], data[x["start"] : x["start"] + x["windows"] + length - 1]) for x in w]
+                col = list(zip(*out, strict=True)) or [()] * 8
                 take = pa.array(col[0], pa.int64())
                 yield pa.record_batch(
-                    [piece.column(0).take(take), piece.column(1).take(take), *(pa.array(c, t) for c, t in zip(col[1:], (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.binary()), strict=True))],
-                    names=["doc_id", "th", "start", "windows", "key", "salt", "n", "bytes"],
+                    [piece.column(0).take(take), piece.column(1).take(take), *(pa.array(c, t) for c, t in zip(col[1:], (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()), strict=True))],
+                    names=["doc_id", "th", "start", "windows", "key", "salt", "n", "s", "bytes"],
                 )
 
-    return both.mapInArrow(cut, "doc_id long, th long, start long, windows int, key long, salt int, n long, bytes binary")
+    return both.mapInArrow(cut, "doc_id long, th long, start long, windows int, key long, salt int, n long, s long, bytes binary")
 
 
 def _shards(parts: DataFrame, length: int) -> DataFrame:
     """Compare the windows of each shard.
 
-    Rows of repeated runs (low, high) of segments that occur once, and for split keys the sorted
-    fingerprints of the shard's windows (``prints``) with, for such segments, each window's own.
+    Rows of repeated runs: (doc_id, th, low, high) of segments that occur once, (key, s, windows, low, high)
+    counted from the segment's start of those that occur more often.  For split keys the sorted
+    fingerprints of the shard's windows (``prints``) follow and those of each segment that occurs once.
     """
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        names = ["doc_id", "th", "low", "high", "key", "salt", "start", "prints"]
+        kinds = (("doc_id", pa.int64()), ("th", pa.int64()), ("low", pa.int64()), ("high", pa.int64()), ("key", pa.int64()), ("salt", pa.int32()), ("start", pa.int64()), ("prints", pa.binary()), ("s", pa.int64()), ("windows", pa.int32()))
         held: list[tuple] = []
         size = 0
 
         def solve(rows: list[tuple]):
-            rows = sorted({(r[4], r[5], r[7], r[6] > 1): r for r in rows}.values(), key=lambda r: (r[4], r[5]))
-            windows = np.array([r[3] for r in rows], np.int64)
-            segment, window, kind = equal_windows([r[7] for r in rows], windows, length)
-            often = np.bincount(kind)[kind] > 1
-            once = np.array([r[6] == 1 for r in rows])
-            hit = often & once[segment]
-            out = [(rows[k][0], rows[k][1], rows[k][2] + a, rows[k][2] + b, None, None, None, None) for k, a, b in zip(*(x.tolist() for x in spans(segment[hit], window[hit], length)), strict=True)]
-            split = np.array([r[5] >= 0 for r in rows])
-            if split.any():
-                for group in sorted({(r[4], r[5]) for r in rows if r[5] >= 0}):
-                    own = [k for k, r in enumerate(rows) if (r[4], r[5]) == group]
-                    every = []
-                    for k in own:
-                        data = np.frombuffer(rows[k][7], np.uint8)
-                        at = np.arange(rows[k][3])
-                        a, b = (Rolling(data, w).of(at, at + length) for w in (0, 1))
-                        prints = np.stack([a, b], 1)
-                        every.append(prints)
-                        if once[k]:
-                            out.append((rows[k][0], rows[k][1], None, None, *group, rows[k][2], prints.tobytes()))
-                    merged = np.unique(np.concatenate(every).view("u8,u8"))
-                    out.append((None, None, None, None, *group, None, merged.tobytes()))
-            return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [()] * 8, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()), strict=True)], names=names)
+            rows = sorted({(r[4], r[5], r[8]): r for r in rows}.values(), key=lambda r: (r[4], r[5]))
+            windows, often = (np.array([r[k] for r in rows], np.int64) for k in (3, 6))
+            segment, window, kind = equal_windows([r[8] for r in rows], windows, length)
+            hit = np.bincount(kind, often[segment])[kind] > 1
+            out = []
+            for k, a, b in zip(*(x.tolist() for x in spans(segment[hit], window[hit], length)), strict=True):
+                doc, th, start, n, key, *_, s, _ = rows[k]
+                out.append((doc, th, start + a, start + b, *[None] * 6) if often[k] == 1 else (None, None, a, b, key, None, None, None, s, n))
+            for group in sorted({(r[4], r[5]) for r in rows if r[5] >= 0}):
+                every = []
+                for r in (r for r in rows if (r[4], r[5]) == group):
+                    data, at = np.frombuffer(r[8], np.uint8), np.arange(r[3])
+                    every.append(np.stack([Rolling(data, w).of(at, at + length) for w in (0, 1)], 1))
+                    if r[6] == 1:
+                        out.append((r[0], r[1], None, None, *group, r[2], every[-1].tobytes(), None, None))
+                out.append((None, None, None, None, *group, None, np.unique(np.concatenate(every).view("u8,u8")).tobytes(), None, None))
+            return pa.record_batch([pa.array(c, t) for c, (_, t) in zip(zip(*out, strict=True) if out else [()] * 10, kinds, strict=True)], names=[n for n, _ in kinds])
 
         for batch in batches:
-            for r in zip(*(batch.column(k).to_pylist() for k in range(8)), strict=True):
+            for r in zip(*(batch.column(k).to_pylist() for k in range(9)), strict=True):
                 # A shard ends where a key does.
                 if size >= SHARD and held[-1][4:6] != r[4:6]:
                     yield solve(held)
                     held, size = [], 0
                 held.append(r)
-                size += len(r[7])
+                size += len(r[8])
         if held:
             yield solve(held)
 
     ready = parts.repartition("key", "salt").sortWithinPartitions("key", "salt")
-    return ready.mapInArrow(run, "doc_id long, th long, low long, high long, key long, salt int, start long, prints binary")
+    return ready.mapInArrow(run, "doc_id long, th long, low long, high long, key long, salt int, start long, prints binary, s long, windows int")
 
 
 def _merge(solved: DataFrame, length: int) -> DataFrame:
@@ -381,14 +379,12 @@ def repeated_runs(rows: DataFrame, length: int) -> DataFrame:
     alike = stash(alike, "segment-kinds")
     keys = alike.groupBy("key").agg(F.count(F.lit(1)).alias("kinds"), F.max("n").alias("most"))
     keys = keys.filter("kinds > 1 OR most > 1")
-    # Equal segments of one key are repeated from end to end.
-    often = alike.filter("n > 1").select("key", "s", "windows")
-    whole = drawn.join(often, ["key", "s", "windows"]).select("doc_id", "th", F.col("start").alias("low"), (F.col("start") + F.col("windows") + length - 1).alias("high"))
-    several = alike.join(keys.filter("kinds > 1"), "key")
     salt = F.when(F.col("kinds") > HOT, F.pmod(F.xxhash64("s"), F.ceil(F.col("kinds") / (HOT // 2)))).otherwise(-1).cast("int")
-    wanted = several.select("one.doc_id", "one.th", "one.start", "windows", "key", salt.alias("salt"), "n")
+    wanted = alike.join(keys, "key").select("one.doc_id", "one.th", "one.start", "windows", "key", salt.alias("salt"), "n", "s")
     solved = stash(_shards(_texts(rows, wanted, length), length), "shards")
-    found = whole.unionByName(solved.filter("low IS NOT NULL").select("doc_id", "th", "low", "high"))
+    found = solved.filter("th IS NOT NULL AND low IS NOT NULL").select("doc_id", "th", "low", "high")
+    again = solved.filter("s IS NOT NULL").select("key", "s", "windows", "low", "high")
+    found = found.unionByName(drawn.join(again, ["key", "s", "windows"]).select("doc_id", "th", (F.col("start") + F.col("low")).alias("low"), (F.col("start") + F.col("high")).alias("high")))
     if not solved.filter("prints IS NOT NULL").isEmpty():
         found = found.unionByName(_merge(solved, length))
     return found
