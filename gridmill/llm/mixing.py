@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .shared import stash
+from .shared import fresh, stash
 
 WEIGHTS = (5, 2, 1)
 
@@ -99,14 +99,17 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = 3, bits
 
 
 def take(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = 3, bits: int = 12, levels: int = 4) -> DataFrame:
-    """The rows of ``docs`` as :func:`mix` takes them: each as many times as it is taken, with all its columns."""
-    size = word_count(F.col("text"))
-    slim = stash(docs.select("source", size.alias("size"), _hash(F.col("doc_id"), size, bits * levels).alias("h")), "mix-sizes")
-    each = plan(slim, weights, most, bits, levels).select(F.col("s").alias("__s"), "repeats", "left", "bound")
-    each = each.select("__s", F.struct("repeats", "left", "bound").alias("__p"))
+    """The rows of ``docs`` as :func:`mix` takes them: each as many times as it is taken, with all its columns.
+
+    Nulls, repeated rows and empty tables are treated as in :func:`mix`; a document without words and one
+    that isn't taken go; columns of any name are carried along.
+    """
+    slim = stash(docs.select("source", word_count(F.col("text")).alias("size"), _hash(F.col("doc_id"), word_count(F.col("text")), bits * levels).alias("h")), "mix-sizes")
+    s, p = fresh(docs, "s", "p")
+    each = plan(slim, weights, most, bits, levels).select(F.col("s").alias(s), F.struct("repeats", "left", "bound").alias(p))
     h = _hash(docs["doc_id"], word_count(docs["text"]), bits * levels)
-    p = F.col("__p")
-    more = F.when((p["left"] > 0) & (h < p["bound"]), 1).otherwise(0)
-    times = F.least(p["repeats"] + more, F.lit(most)).cast("int")
-    both = docs.join(each, docs["source"].eqNullSafe(F.col("__s"))).withColumn("__n", times).filter("__n > 0")
-    return both.withColumn("__i", F.explode(F.array_repeat(F.lit(0), F.col("__n")))).drop("__s", "__p", "__n", "__i")
+    more = F.when((F.col(p)["left"] > 0) & (h < F.col(p)["bound"]), 1).otherwise(0)
+    times = F.least(F.col(p)["repeats"] + more, F.lit(most)).cast("int")
+    both = docs.join(each, docs["source"].eqNullSafe(F.col(s))).filter(times > 0)
+    # The copies of a row are elements of an array; what is exploded isn't kept.
+    return both.select(*[docs[c] for c in docs.columns], F.explode(F.array_repeat(F.lit(0), times)).alias(s)).drop(s)

@@ -125,29 +125,51 @@ def test_targets_equal_resharing(spark, sizes):
     assert all(abs(got[f"s{i}"] - t) < 1e-6 for i, t in target.items())
 
 
-def brute_lines(docs, width=2, long_words=50):
+def brute_lines(docs, width, long_words):
     """First places by (doc_id, line) of windows of lines; lines of later ones go."""
     seen, gone = {}, {}
     for i, text in docs:
         lines = [(k, x) for k, x in enumerate((text or "").split("\n")) if x.strip(" \t\r\n\x0b\x0c")]
-        wins = [((k,), (x,)) for k, x in lines if len(x.split()) >= long_words]
-        wins += [(tuple(k for k, _ in lines[s : s + width]), tuple(x for _, x in lines[s : s + width])) for s in range(len(lines) - width + 1)]
-        for at, win in sorted(wins):
+        for s in range(len(lines)):
+            size = next((m for m in range(1, width + 1) if s + m <= len(lines) and (m == width or sum(len(x.split()) for _, x in lines[s : s + m]) >= long_words)), None)
+            if size is None:
+                continue
+            win = tuple(x for _, x in lines[s : s + size])
             if win in seen:
-                gone.setdefault(i, set()).update(at)
+                gone.setdefault(i, set()).update(k for k, _ in lines[s : s + size])
             else:
-                seen[win] = (i, at)
+                seen[win] = (i, s)
     return {i: len(g) for i, g in gone.items()}
 
 
-def test_line_dedup_equals_brute_force(spark):
+@pytest.mark.parametrize(("width", "long_words"), [(3, 12), (2, 50), (4, 9)])
+def test_line_dedup_equals_brute_force(spark, width, long_words):
+    rng = np.random.default_rng(width)
+    long, half = " ".join(f"w{k}" for k in range(60)), " ".join(f"h{k}" for k in range(7))
+    texts = ["a\nb\nc", "x\na\nb\nc\ny", "a\nb", "b\n\na\n \nb\nc", long, f"q\n{long}\nr", "a\na\na\na\na", None, "", "\n\n", "c", "c", f"{half}\n{half} z", f"u\n{half}\n{half} z\nv"]
+    texts += ["\n".join(rng.choice(list("abcdef"), 12)) for _ in range(30)]
+    docs = table(spark, [(i, t, "en", "s") for i, t in enumerate(texts)])
+    got = line_dedup.report(docs, width, long_words).collect()
+    assert {r.doc_id: r.n_removed for r in got if r.n_removed} == brute_lines(list(enumerate(texts)), width, long_words)
+
+
+def test_line_dedup_stage(spark):
     long = " ".join(f"w{k}" for k in range(60))
-    texts = ["a\nb\nc", "x\na\nb\nc\ny", "a\nb", "b\n\na\n \nb\nc", long, f"q\n{long}\nr", "a\na\na\na", None, "", "\n\n", "c", "c"]
-    got = line_dedup.report(table(spark, [(i, t, "en", "s") for i, t in enumerate(texts)])).collect()
-    assert {r.doc_id: r.n_removed for r in got if r.n_removed} == brute_lines(list(enumerate(texts)))
+    texts = ["a\nb\nc", "x\na\nb\nc\ny", "c\na\nb\nc", "b\n\na\n \nb", long, f"q\n{long}\nr", long, None, "", "c", "c"]
     kept = line_dedup.keep_first_lines(table(spark, [(i, t, "en", "s") for i, t in enumerate(texts)]))
     text = {r.doc_id: r.text for r in kept.collect()}
-    assert text[1] == "x\ny" and text[5] == "q\nr" and 2 not in text and text[7] is None and text[10] == text[11] == "c"
+    assert text[1] == "x\ny" and text[2] == "c" and text[5] == "q\nr" and 6 not in text and text[7] is None and text[8] == "" and text[9] == text[10] == "c"
+
+
+def test_stages_with_clashing_columns_and_empty_tables(spark):
+    clash = "doc, th, words, kept, lines, removed, hash, id, n, i, p, s, lang_, share, language, text_, best, root".split(", ")
+    docs = table(spark, [(i % 7 if i % 5 else None, f"{EN if i % 2 else DE} {i % 9}", "en" if i % 2 else "de", f"s{i % 3}") for i in range(30)])
+    docs = docs.select("*", *[F.lit(k).alias(c) for k, c in enumerate(clash)], *[F.lit(k).alias(f"__{c}") for k, c in enumerate(clash)])
+    for stage in (language.keep_identified, line_dedup.keep_first_lines, jaccard.keep_one, mixing.take):
+        got = stage(docs)
+        assert got.columns == docs.columns and got.count() > 0
+        assert all(r[c] == k for r in got.collect() for k, c in enumerate(clash))
+        assert stage(docs.limit(0)).collect() == []
 
 
 def test_jaccard_equals_brute_force(spark):
@@ -236,6 +258,26 @@ def test_media_metadata_come_from_headers(docs, monkeypatch):
     assert got and all(r.media_bytes > 1_000_000 and r.feature == "head" for r in got)
 
 
+def test_topk_stops_early():
+    rng = np.random.default_rng(5)
+    x = np.floor(256 * rng.normal(size=(1024, 8)) / 4).astype(np.int64)
+    queries = x[:40] * 3
+    # Rows near each query stand out, and a floor is known for half of the queries.
+    x = np.concatenate([np.repeat(queries, 6, 0) + rng.integers(-9, 9, (240, 8)), x])
+    ids, asked = rng.permutation(len(x)), np.arange(10_000, 10_040)
+    want = {int(q): sorted((-int(v @ w), int(i)) for v, i in zip(x, ids, strict=True))[:5] for q, w in zip(asked, queries, strict=True)}
+    floor = np.array([-want[int(q)][4][0] if k % 2 else -np.inf for k, q in enumerate(asked)])
+    found, read = topk.block_top(ids, x, asked, queries, 5, floor)
+    assert (read < topk.STEPS).mean() > 0.9
+    got = {}
+    for q, v, s in found:
+        got.setdefault(q, []).append((-s, v))
+    assert {q: sorted(g) for q, g in got.items()} == want
+    # Nothing is read of a block that can't reach the floor.
+    found, read = topk.block_top(ids, x, asked, queries, 5, np.full(40, 1e12))
+    assert not found and not read.any()
+
+
 def test_topk_equals_brute_force(spark):
     rng = np.random.default_rng(0)
     x = rng.normal(size=(700, 8)).round(1).astype(np.float32)
