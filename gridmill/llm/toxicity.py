@@ -1,15 +1,16 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
-Two word models, one of toxic and one of ordinary documents, score a text by the difference of their mean
-log-likelihoods.  A model's own evidence for a word is Kneser and Ney's: not how often the word occurs in
-its class but how many different words it follows there.  From it the model backs off to the counts of the
-whole corpus, which both share, so a rare expression has much the same probability under either and moves
-no score.  (A level of word pairs above this one was tried and left out: pairs that near copies repeat
-cost nearly all recall on held-out documents.)
-
-What is bounded: the labelled sample (``most_labels``; the models' own counts come from it) and the words
-with evidence that the models keep (``most_words``, the most frequent; the others back off).  The shared
-counts cover every word of every document.
+Two models of word pairs, one of toxic and one of ordinary documents, score a text by the difference of
+their mean log-likelihoods.  Evidence is counted as Kneser and Ney do: not how often a word or a pair of
+words occurs in its class but how many different words stand before it.  A pair backs off to its second
+word, a word to the counts of the whole corpus, which both models share; so a rare expression has much the
+same probability under either and moves no score.  The discount of each order and class comes from how many
+words or pairs have one to four predecessors (modified Kneser-Ney, rounded up).  It grows with what the
+shared counts of that word or pair lead to expect, so what is merely a little more usual in one class backs
+off entirely; without that, pairs that near copies repeat cost nearly all recall on held-out documents.
+
+What is bounded: the labelled sample (``most_labels`` documents), and with it everything that the models
+keep.  The shared counts cover every word, and every pair with evidence, of every document.
 """
 
 from __future__ import annotations
@@ -22,11 +23,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import Split, chunks
-from .shared import most_frequent, stash
+from .shared import stash
 
-DISCOUNT = 2.0
-EXCESS = 3.0  # times its expected count that a word must exceed to be evidence
-LEAST = 3  # labelled count from which a word can have evidence of its own
+EXCESS = 3.0  # times its expected count that a word or pair must exceed to be evidence
 
 
 def word_of(chunk: str) -> str:
@@ -44,27 +43,69 @@ def fold(doc_id: Column, n: int = 5) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % n
 
 
+def discount(n: list[int]) -> float:
+    """The modified Kneser-Ney discount of counts from three on, rounded up; ``n``: items with 1 to 4."""
+    y = n[0] / max(n[0] + 2 * n[1], 1)
+    return float(min(max(np.ceil(3 - 4 * y * n[3] / max(n[2], 1)), 1), 3))
+
+
 class Models:
     """Log-ratios of the two models; built from counts, small enough to be sent to every task.
 
-    Class ``c`` gives a word ``(e_c(w) + L_c p(w)) / N_c``: ``N_c(.w)`` different words that it follows,
-    ``N_c`` their sum, ``p`` the corpus share, ``e_c`` the discounted evidence ``N_c(.w) - D - M N_c p(w)``
-    or 0, and ``L_c`` all mass that is not evidence.  The discount grows with what the shared counts lead
-    to expect, so a word that is merely a little more usual in one class backs off entirely.
+    For class ``c``, ``f_c`` predecessors, corpus shares ``q`` and discounts ``D``:
+
+    * a word has ``p_c(w) = (e_c(w) + L_c q(w)) / N_c``, where ``e_c(w) = f_c(w) - D - M N_c q(w)`` or 0,
+      ``N_c`` is the sum of all ``f_c`` and ``L_c`` what is not evidence;
+    * a word after ``v`` has ``p_c(w|v) = e_c(v, w) / N_c(v) + l_c(v) p_c(w)``, where ``e_c(v, w) =
+      f_c(v, w) - D' - M max(N_c(v) p_c(w), N'_c q(v, w))`` or 0, ``N_c(v)`` and ``N'_c`` are sums over
+      ``w`` and over all pairs, and ``l_c(v)`` is the share of ``N_c(v)`` that is not evidence.
+
+    ``words``: (word, f_0, f_1, corpus count); ``pairs``: (v, w, f_0, f_1, corpus count), whose words are
+    all in ``words``; ``heads``: (v, N_0(v), N_1(v)).  Other words have no evidence, other pairs back off.
     """
 
-    def __init__(self, words: list[tuple], totals: tuple, corpus: int):
-        # words: (word, follows in 0, follows in 1, corpus count)
+    def __init__(self, words: list[tuple], pairs: list[tuple], heads: list[tuple], totals: tuple, pair_totals: tuple, corpus: int, discounts: tuple, pair_discounts: tuple):
+        self.id = {w[0]: i for i, w in enumerate(words)}
+        self.id.setdefault("", len(self.id))  # what stands before the first word
         follows = np.array([w[1:3] for w in words], float).reshape(-1, 2)
         share = np.maximum(np.array([w[3] for w in words], float), 1) / max(corpus, 1)
         total = np.maximum(np.array(totals, float), 1)
-        kept = np.maximum(follows - DISCOUNT - EXCESS * total * share[:, None], 0)
+        kept = np.maximum(follows - discounts - EXCESS * total * share[:, None], 0)
         left = total - kept.sum(0)
         p = (kept + left * share[:, None]) / total
-        rest = np.log(left / total)
-        unseen = float(rest[1] - rest[0])  # the shared share cancels
-        self.id = {w[0]: i for i, w in enumerate(words)}
-        self.word = np.append(np.log(p[:, 1]) - np.log(p[:, 0]), unseen)
+        unseen = np.log(left[1] / total[1]) - np.log(left[0] / total[0])  # the shared share cancels
+        self.word = np.append(np.log(p[:, 1]) - np.log(p[:, 0]), [unseen] * (len(self.id) + 1 - len(p)))
+        n = len(self.word)
+        mass = np.ones((n, 2))
+        mass[[self.id[v] for v, *_ in heads]] = np.maximum(np.array([m for _, *m in heads], float).reshape(-1, 2), 1)
+        v, w = (np.array([self.id[x[k]] for x in pairs], np.int64) for k in (0, 1))
+        count, often = np.array([x[2:4] for x in pairs], float).reshape(-1, 2), np.array([x[4] for x in pairs], float)
+        expected = np.maximum(mass[v] * p[w], np.array(pair_totals, float) * often[:, None] / max(corpus, 1))
+        e = np.maximum(count - pair_discounts - EXCESS * expected, 0)
+        some = e.any(1)
+        v, w, e = v[some], w[some], e[some]
+        taken = np.zeros((n, 2))
+        np.add.at(taken, v, e)
+        rest = (mass - taken) / mass
+        self.head = np.log(rest[:, 1]) - np.log(rest[:, 0])
+        both = e / mass[v] + rest[v] * p[w]
+        order = np.argsort(v * n + w)
+        self.pair, self.value = (v * n + w)[order], (np.log(both[:, 1]) - np.log(both[:, 0]))[order]
+        self.heads = np.unique(v)
+
+    def tokens(self, ids: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """The log-ratio of every word; ``ids``: words of texts laid end to end, ``first``: where texts begin."""
+        n = len(self.word)
+        before = np.concatenate((ids[:1], ids[:-1]))
+        before[first[first < len(ids)]] = self.id[""]
+        out = self.word[ids] + self.head[before]
+        some = np.flatnonzero(np.isin(before, self.heads))
+        if len(some):
+            code = before[some] * n + ids[some]
+            at = np.minimum(np.searchsorted(self.pair, code), len(self.pair) - 1)
+            hit = self.pair[at] == code
+            out[some[hit]] = self.value[at[hit]]
+        return out
 
 
 def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 60) -> tuple[float, float, float]:
@@ -80,7 +121,7 @@ def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 60) -> tuple[float, flo
     return scale, float(w[0]), float(w[1])
 
 
-def score(docs: DataFrame, labels: DataFrame, most_labels: int = 20_000, most_words: int = 200_000) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, most_labels: int = 20_000) -> DataFrame:
     """doc_id, held_out, score, predicted for every row of ``docs`` (doc_id, text).
 
     Labels are learnt from rows whose crc32(doc_id) mod 5 isn't 0: of these, rests 1 to 3 train the models
@@ -97,44 +138,7 @@ def score(docs: DataFrame, labels: DataFrame, most_labels: int = 20_000, most_wo
     train = {r.doc_id: int(r.toxic > 0) for r in sample if r.fold != 4}
     adjust = {r.doc_id: int(r.toxic > 0) for r in sample if r.fold == 4}
     told = spark.sparkContext.broadcast((train, adjust))
-
-    def count(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        train, _ = told.value
-        for batch in batches:
-            split = Split(batch.column(1))
-            seen = dict(zip(split.distinct, split.counts().tolist(), strict=True))
-            pairs: tuple[Counter, Counter] = (Counter(), Counter())
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if doc in train:
-                    words = [word_of(c) for c in chunks(text)]
-                    pairs[train[doc]].update(zip(["", *words], words))  # noqa: B905
-            total: Counter = Counter()
-            for c, n in seen.items():
-                if n:
-                    total[word_of(c)] += n
-            head, word, kind, n = [], [], [], []
-            for k, found in ((0, pairs[0]), (1, pairs[1])):
-                head += [p[0] for p in found]
-                word += [p[1] for p in found]
-                kind += [k] * len(found)
-                n += found.values()
-            head += [None] * len(total)
-            word += total
-            kind += [2] * len(total)
-            n += total.values()
-            yield pa.record_batch([pa.array(head, pa.string()), pa.array(word, pa.string()), pa.array(kind, pa.int32()), pa.array(n, pa.int64())], names=["head", "word", "kind", "n"])
-
-    counts = stash(rows.mapInArrow(count, "head string, word string, kind int, n long").groupBy("head", "word", "kind").agg(F.sum("n").alias("n")), "toxic-counts")
-    is_class = F.col("kind") < 2
-    by_word = counts.groupBy("word").agg(
-        *(F.count(F.when(F.col("kind") == k, 1)).alias(f"f{k}") for k in (0, 1)),
-        F.sum(F.when(is_class, F.col("n"))).alias("seen"), F.coalesce(F.sum(F.when(F.col("kind") == 2, F.col("n"))), F.lit(0)).alias("corpus"),
-    )
-    words = most_frequent(stash(by_word.filter(F.col("seen") >= LEAST), "toxic-words"), "seen", most_words).orderBy("word").collect()
-    whole = counts.agg(*(F.count(F.when(F.col("kind") == k, 1)).alias(f"t{k}") for k in (0, 1)), F.coalesce(F.sum(F.when(F.col("kind") == 2, F.col("n"))), F.lit(0)).alias("corpus")).first()
-    models = Models([(w.word, w.f0, w.f1, w.corpus) for w in words], (whole.t0, whole.t1), whole.corpus)
+    models = _models(rows, told)
     sent = spark.sparkContext.broadcast(vars(models))
 
     def compare(batches: Iterator) -> Iterator:
@@ -150,8 +154,8 @@ def score(docs: DataFrame, labels: DataFrame, most_labels: int = 20_000, most_wo
                 split = Split(piece.column(1))
                 word = np.array([models.id.get(word_of(c), last) for c in split.distinct], np.int64)
                 n, first = np.diff(split.ends), split.ends[:-1]
-                ids = word[split.index] if len(split.index) else np.zeros(0, np.int64)
-                sums = np.add.reduceat(np.append(models.word[ids], 0.0), first) if len(n) else np.zeros(0)
+                each = models.tokens(word[split.index], first) if len(split.index) else np.zeros(0)
+                sums = np.add.reduceat(np.append(each, 0.0), first) if len(n) else np.zeros(0)
                 # Sums are rounded so that they don't depend on what else is in the batch.
                 diff = np.where(n > 0, np.round(sums / np.maximum(n, 1), 9), 0.0)
                 docs_ = piece.column(0)
@@ -159,13 +163,99 @@ def score(docs: DataFrame, labels: DataFrame, most_labels: int = 20_000, most_wo
 
     diffs = stash(rows.mapInArrow(compare, "doc_id long, diff double, toxic int"), "toxic-diffs")
     kinds = set(train.values())
-    fit = [(r.diff, r.toxic) for r in diffs.filter(F.col("toxic").isNotNull()).select("diff", "toxic").limit(2 * most_labels).collect()] if len(kinds) == 2 else []
-    if len({t for _, t in fit}) == 2:
-        fit.sort()
-        scale, slope, base = logistic(np.array([d for d, _ in fit]), np.array([t for _, t in fit], float))
+    # One row for each labelled document, whatever rows share its id.
+    fit = diffs.filter(F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.min("diff").alias("diff"), F.max("toxic").alias("toxic")).collect() if len(kinds) == 2 else []
+    if len({r.toxic for r in fit}) == 2:
+        pairs = sorted((r.diff, r.toxic) for r in fit)
+        scale, slope, base = logistic(np.array([d for d, _ in pairs]), np.array([t for _, t in pairs], float))
         value = 1 / (1 + F.exp(-(F.col("diff") / scale * max(slope, 0.0) + base)))
     else:
         share = sum(train.values()) / len(train) if train else 0.0
         value = F.lit(float(share)) if len(kinds) < 2 else 1 / (1 + F.exp(-F.col("diff")))
     out = diffs.select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), value.alias("score"))
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def _models(rows: DataFrame, told) -> Models:
+    """Count predecessors in the labelled sample and words and pairs in all of ``rows``; see :class:`Models`."""
+
+    def count(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        train, _ = told.value
+        for batch in batches:
+            split = Split(batch.column(1))
+            found: tuple[set, set] = (set(), set())
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if doc in train:
+                    words = ["", "", *map(word_of, chunks(text))]
+                    found[train[doc]].update(zip(words, words[1:], words[2:]))  # noqa: B905
+            total: Counter = Counter()
+            for c, n in zip(split.distinct, split.counts().tolist(), strict=True):
+                if n:
+                    total[word_of(c)] += n
+            both = [*found[0], *found[1]]
+            none = [None] * len(total)
+            cols = [[t[k] for t in both] + (list(total) if k == 2 else none) for k in range(3)]
+            kind = np.repeat([0, 1, 2], [len(found[0]), len(found[1]), len(total)]).astype(np.int32)
+            yield pa.record_batch([*(pa.array(c, pa.string()) for c in cols), pa.array(kind), pa.array([*[1] * len(both), *total.values()], pa.int64())], names=["far", "head", "word", "kind", "n"])
+
+    counted = rows.mapInArrow(count, "far string, head string, word string, kind int, n long")
+    counts = stash(counted.groupBy("far", "head", "word", "kind").agg(F.sum("n").alias("n")), "toxic-counts")
+    of = lambda k, what: F.coalesce(F.sum(F.when(F.col("kind") == k, F.col(what))), F.lit(0)).alias(f"f{k}")
+    pairs = counts.filter("kind < 2").groupBy("head", "word", "kind").agg(F.count(F.lit(1)).alias("f"))
+    pairs = stash(pairs.groupBy("head", "word").agg(of(0, "f"), of(1, "f")), "toxic-pairs")
+    single = pairs.select("word", (F.col("f0") > 0).cast("long").alias("f0"), (F.col("f1") > 0).cast("long").alias("f1"), F.lit(0).cast("long").alias("corpus"))
+    every = single.unionByName(counts.filter("kind = 2").select("word", F.lit(0).cast("long").alias("f0"), F.lit(0).cast("long").alias("f1"), F.col("n").alias("corpus")))
+    words = stash(every.groupBy("word").agg(*[F.sum(c).alias(c) for c in ("f0", "f1", "corpus")]), "toxic-words")
+
+    def sums(df: DataFrame):
+        parts = [F.coalesce(F.sum(f"f{c}"), F.lit(0)).alias(f"t{c}") for c in (0, 1)]
+        return df.agg(*parts, *[F.count_if(F.col(f"f{c}") == k).alias(f"n{c}{k}") for c in (0, 1) for k in (1, 2, 3, 4)], F.coalesce(F.sum("corpus") if "corpus" in df.columns else F.lit(0), F.lit(0)).alias("corpus")).first()
+
+    one, two = sums(words), sums(pairs)
+    discounts, pair_discounts = (tuple(discount([x[f"n{c}{k}"] for k in (1, 2, 3, 4)]) for c in (0, 1)) for x in (one, two))
+    share = F.greatest("corpus", F.lit(1)) / max(one.corpus, 1)
+    has = lambda c: F.col(f"f{c}") - discounts[c] - EXCESS * max(one[f"t{c}"], 1) * share > 0
+    chosen = stash(pairs.filter(" OR ".join(f"f{c} > {pair_discounts[c]}" for c in (0, 1))), "toxic-pairs-chosen")
+    asked = chosen.select(F.explode(F.array("head", "word")).alias("word")).distinct()
+    kept = words.filter(has(0) | has(1)).unionByName(words.join(asked, "word", "left_semi")).distinct()
+    kept = [tuple(r) for r in kept.select("word", "f0", "f1", "corpus").orderBy("word").collect() if r.word]
+    heads = [tuple(r) for r in pairs.join(chosen.select("head").distinct(), "head", "left_semi").groupBy("head").agg(F.sum("f0"), F.sum("f1")).collect()]
+    some = sorted(map(tuple, chosen.select("head", "word", "f0", "f1").collect()))
+    often = _corpus_pairs(rows, [w[0] for w in kept], [p[:2] for p in some]) if some else {}
+    return Models(kept, [(*p, often.get(k, 0)) for k, p in enumerate(some)], heads, (one.t0, one.t1), (two.t0, two.t1), one.corpus, discounts, pair_discounts)
+
+
+def _corpus_pairs(rows: DataFrame, words: list[str], pairs: list[tuple[str, str]]) -> dict[int, int]:
+    """How often each of ``pairs`` stands in all texts, by its number."""
+    id_ = {w: i for i, w in enumerate(["", *words])}
+    n = len(id_) + 1
+    code = np.array([id_[v] * n + id_[w] for v, w in pairs], np.int64)
+    order = np.argsort(code)
+    sent = rows.sparkSession.sparkContext.broadcast((id_, code[order], order))
+
+    def count(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        id_, code, order = sent.value
+        last, total = len(id_), np.zeros(len(code), np.int64)
+        heads = np.unique(code // n)
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 2000):
+                split = Split(batch.column(0).slice(lo, 2000))
+                if not len(split.index):
+                    continue
+                ids = np.array([id_.get(word_of(c), last) for c in split.distinct], np.int64)[split.index]
+                before = np.concatenate((ids[:1], ids[:-1]))
+                first = split.ends[:-1]
+                before[first[first < len(ids)]] = 0
+                some = np.flatnonzero(np.isin(before, heads) & (ids != last))
+                own = before[some] * n + ids[some]
+                at = np.minimum(np.searchsorted(code, own), len(code) - 1)
+                total += np.bincount(at[code[at] == own], minlength=len(code))
+        at = np.flatnonzero(total)
+        yield pa.record_batch([pa.array(order[at]), pa.array(total[at])], names=["pair", "n"])
+
+    got = rows.select("text").mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    return {r.pair: r.n for r in got.collect()}
