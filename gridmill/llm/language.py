@@ -7,8 +7,9 @@ the languages of a lexicon learnt from the sample.  Transitions are learnt with
 spliced from spans of different documents.  Forward-backward gives each word's marginals; a document's
 language has the greatest mean marginal, which is its score.
 
-Long texts are read whole, in chains of ``CHAIN`` words.  What is bounded is the labelled sample:
-``most_docs`` documents, and of each ``WINDOWS`` windows of ``SPAN`` words spread over the text.
+A text is one chain, whatever its length.  It is worked on in pieces of ``CHAIN`` words side by side; what a
+piece hands to its neighbours is computed again until it no longer changes.  What is bounded is the labelled
+sample: ``most_docs`` documents, and of each ``WINDOWS`` windows of ``SPAN`` words spread over the text.
 """
 
 from __future__ import annotations
@@ -18,10 +19,12 @@ from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .chunks import Split, chunks, release
+from .shared import fresh
 
 BUCKETS = 1 << 16
 GRAMS = (2, 3, 4)
@@ -29,6 +32,7 @@ CHAIN = 64
 SLICE = 1000  # documents of a batch that are split at a time
 SPAN = 32
 WINDOWS = 6
+STEADY = 1e-6  # change of a message between pieces that no longer counts
 
 
 def fold(doc_id: Column, n: int = 4) -> Column:
@@ -131,29 +135,87 @@ class Crf:
         n = np.fromiter(map(len, split), np.int64, len(split))
         return self.coded(distinct, np.fromiter((number[w] for s in split for w in s), np.int64, int(n.sum())), n)
 
-    def coded(self, distinct: list[str], ids: np.ndarray, n: np.ndarray) -> np.ndarray:
-        """Mean marginals of texts of ``n`` words each, given as numbers of distinct words."""
+    def linked(self, score: np.ndarray, mask: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Marginals of chains cut into pieces: ``score`` (piece, position, label), in order.
+
+        ``starts``: the piece begins a chain; else it goes on the one before, whose positions are all real.
+        """
+        n, m, c = score.shape
+        e = np.exp(score - score.max(2, keepdims=True))
+        e[~mask] = 1.0
+        step = np.exp(self.t)
+        a, b = np.empty_like(e), np.empty_like(e)
+
+        def forward(which, before):
+            x = before * e[which, 0]
+            a[which, 0] = x / x.sum(1, keepdims=True)
+            for i in range(1, m):
+                x = (a[which, i - 1] @ step) * e[which, i]
+                a[which, i] = np.where(mask[which, i, None], x / np.maximum(x.sum(1, keepdims=True), 1e-30), a[which, i - 1])
+
+        def backward(which, after):
+            b[which, m - 1] = after
+            for i in range(m - 1, 0, -1):
+                x = (e[which, i] * b[which, i]) @ step.T
+                b[which, i - 1] = np.where(mask[which, i, None], x / np.maximum(x.sum(1, keepdims=True), 1e-30), b[which, i])
+
+        ones = np.ones((n, c), e.dtype)
+        goes_on = np.flatnonzero(~starts)
+        for run, neighbour, message in (
+            (forward, -1, lambda k: a[k, m - 1] @ step),
+            (backward, 1, lambda k: (e[k, 0] * b[k, 0]) @ step.T),
+        ):
+            run(np.arange(n), ones)
+            # A piece that goes on gets its neighbour's message; the one before it gets its own, backward.
+            todo = goes_on if neighbour < 0 else goes_on - 1
+            held = np.full((n, c), np.inf)
+            while len(todo):
+                new = message(todo + neighbour)
+                new /= np.maximum(new.sum(1, keepdims=True), 1e-30)
+                moved = np.abs(new - held[todo]).max(1) > STEADY
+                todo, new = todo[moved], new[moved]
+                if not len(todo):
+                    break
+                held[todo] = new
+                run(todo, new)
+                follow = todo - neighbour
+                todo = follow[(follow >= 0) & (follow < n)]
+                todo = todo[~starts[todo]] if neighbour < 0 else todo[~starts[todo + 1]]
+        p = a * b
+        return p / np.maximum(p.sum(2, keepdims=True), 1e-30)
+
+    def coded(self, distinct: list[str], ids: np.ndarray, n: np.ndarray, words: bool = False):
+        """Mean marginals of texts of ``n`` words each, given as numbers of distinct words.
+
+        With ``words`` also each word's own.
+        """
         c = len(self.labels)
         table = self.emissions(distinct)
-        out = np.zeros((len(n), c))
-        if not len(ids):
-            return out
-        doc = np.repeat(np.arange(len(n)), n)
-        at = np.arange(len(ids)) - np.repeat(np.cumsum(n) - n, n)
-        begins = np.flatnonzero(at % CHAIN == 0)
-        size = np.diff(np.append(begins, len(ids)))
-        for size_class in (8, CHAIN):  # short chains apart, so that little is padded
-            chosen = np.flatnonzero(size <= 8 if size_class == 8 else size > 8)
-            for lo in range(0, len(chosen), 4096):
-                part = chosen[lo : lo + 4096]
-                mask = np.arange(size_class) < size[part, None]
-                index = np.minimum(begins[part, None] + np.arange(size_class), len(ids) - 1)
-                p = self.marginals(table[ids[index]], mask)
-                sums = (p * mask[:, :, None]).sum(1)
-                owner = doc[begins[part]]
-                for k in range(c):
-                    out[:, k] += np.bincount(owner, sums[:, k], len(n))
-        return out / np.maximum(n, 1)[:, None]
+        out, each = np.zeros((len(n), c)), np.zeros((len(ids) if words else 0, c))
+        if len(ids):
+            doc = np.repeat(np.arange(len(n)), n)
+            at = np.arange(len(ids)) - np.repeat(np.cumsum(n) - n, n)
+            begins = np.flatnonzero(at % CHAIN == 0)
+            size = np.diff(np.append(begins, len(ids)))
+            starts = at[begins] == 0
+            short = starts & (size <= 8)  # apart, so that little is padded
+            for width, chosen in ((8, np.flatnonzero(short)), (CHAIN, np.flatnonzero(~short))):
+                lo = 0
+                while lo < len(chosen):
+                    hi = min(lo + 4096, len(chosen))
+                    while hi < len(chosen) and not starts[chosen[hi]]:  # a chain stays whole
+                        hi += 1
+                    part, lo = chosen[lo:hi], hi
+                    mask = np.arange(width) < size[part, None]
+                    index = np.minimum(begins[part, None] + np.arange(width), len(ids) - 1)
+                    p = self.linked(table[ids[index]], mask, starts[part])
+                    sums = (p * mask[:, :, None]).sum(1)
+                    for k in range(c):
+                        out[:, k] += np.bincount(doc[begins[part]], sums[:, k], len(n))
+                    if words:
+                        each[index[mask]] = p[mask]
+        out /= np.maximum(n, 1)[:, None]
+        return (out, each) if words else out
 
 
 def train(samples: list[tuple[str, list[str]]], rounds: int = 4, rate: float = 0.3, seed: int = 1) -> Crf:
@@ -220,17 +282,27 @@ def train(samples: list[tuple[str, list[str]]], rounds: int = 4, rate: float = 0
     return model
 
 
-def sample(docs: DataFrame, most_docs: int, most_labels: int = 500) -> list[tuple[str, list[str]]]:
-    """Windows of words of at most about ``most_docs`` training documents, evenly over the languages."""
+def sample(docs: DataFrame, most_docs: int, windows: int = WINDOWS, span: int = SPAN) -> list[tuple[str, list[str]]]:
+    """Windows of words of at most ``most_docs`` training documents, evenly over the languages.
+
+    Each language has the same number of rows at most, those of least hash of id and text, so reruns agree
+    and null or repeated ids matter no more than others.  Only if there are more languages than
+    ``most_docs`` are some without a row: those with fewest documents.
+    """
+    spark = docs.sparkSession
     known = docs.filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & (fold(F.col("doc_id")) != 2))
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_labels).collect()
+    known = known.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"), F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text").alias("draw"))
+    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_docs).collect()
     if not counts:
         return []
     each = max(1, most_docs // len(counts))
-    share = F.create_map(*[x for r in counts for x in (F.lit(r.lang), F.lit(min(1.0, each / r["count"])))])[F.col("lang")]
-    u = F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, 8), 16, 10).cast("double") / 2**32
+    # Of a language's hashes the least `each` are nearly sure to lie below this share of all hashes.
+    room = [(r.lang, min(int((each + 5 * each**0.5 + 20) / r["count"] * 2**64), 2**64 - 1) - 2**63) for r in counts]
+    rooms = spark.createDataFrame(room, "lang string, room long")  # most_docs rows at most
+    thin = known.join(F.broadcast(rooms), "lang").filter(F.col("draw") <= F.col("room"))
+    least = thin.withColumn("k", F.row_number().over(W.partitionBy("lang").orderBy("draw", "text"))).filter(F.col("k") <= each)
 
-    def windows(batches: Iterator) -> Iterator:
+    def cut(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
@@ -238,12 +310,11 @@ def sample(docs: DataFrame, most_docs: int, most_labels: int = 500) -> list[tupl
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 words = [w for w in map(word_of, chunks(text)) if w]
                 n = len(words)
-                some = range(0, n, max(SPAN, -(-n // WINDOWS)))
-                rows += [(lang, words[i : i + SPAN]) for i in some if words[i : i + SPAN]]
+                some = range(0, n, max(span, -(-n // windows)))
+                rows += [(lang, words[i : i + span]) for i in some if words[i : i + span]]
             yield pa.record_batch([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.list_(pa.string()))], names=["lang", "words"])
 
-    got = known.filter(u < share).select(F.col("lang").cast("string"), F.col("text").cast("string")).mapInArrow(windows, "lang string, words array<string>")
-    return [(r.lang, list(r.words)) for r in got.limit(3 * most_docs * WINDOWS).collect()]
+    return [(r.lang, list(r.words)) for r in least.select("lang", "text").mapInArrow(cut, "lang string, words array<string>").collect()]
 
 
 def annotate(docs: DataFrame, most_docs: int = 3000, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
@@ -283,7 +354,8 @@ def annotate(docs: DataFrame, most_docs: int = 3000, names: tuple[str, str] = ("
 def identify(docs: DataFrame, most_docs: int = 3000) -> DataFrame:
     """doc_id, held_out, lang_pred, score for every row of ``docs`` (doc_id, text, lang).
 
-    Learns from text and non-null ``lang`` of documents whose crc32(doc_id) mod 4 isn't 2.  ``und`` with
+    Learns from text and non-null ``lang`` of at most ``most_docs`` documents whose crc32(doc_id) mod 4 isn't
+    2, see :func:`sample`; while training a language takes half a megabyte of the driver's memory.  ``und`` with
     score 0 for null texts, texts without a letter, and all texts if nothing could be learnt.  Ties go to
     the lesser language.  A null ``doc_id`` counts as the empty text; repeated rows are scored alike; other
     columns are ignored; an empty table gives an empty result.
@@ -293,10 +365,43 @@ def identify(docs: DataFrame, most_docs: int = 3000) -> DataFrame:
     return got.select("doc_id", (fold(F.col("doc_id")) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def spans(docs: DataFrame, most_docs: int = 3000) -> DataFrame:
+    """(doc_id, first, last, language, score) of the runs of one language in each text of ``docs``.
+
+    ``first`` and ``last`` count the words that have a letter, from 0; ``score`` is the run's mean marginal.
+    Null texts and texts without a letter have no run; all else as in :func:`identify`.
+    """
+    told = docs.sparkSession.sparkContext.broadcast(train(sample(docs.select("doc_id", "text", "lang"), most_docs)).state())
+
+    def label(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        model = Crf(*told.value)
+        for batch in batches:
+            out = []
+            split = [[w for w in map(word_of, chunks(t)) if w] for t in batch.column(1).to_pylist()] if model.labels else []
+            distinct = sorted(set().union(*split))
+            number = {w: i for i, w in enumerate(distinct)}
+            n = np.fromiter(map(len, split), np.int64, len(split))
+            _, each = model.coded(distinct, np.array([number[w] for s in split for w in s], np.int64), n, words=True)
+            best, owner = each.argmax(1), np.repeat(np.arange(len(n)), n)
+            head = np.flatnonzero(np.append(True, (best[1:] != best[:-1]) | (owner[1:] != owner[:-1]))) if len(best) else np.zeros(0, np.int64)
+            begin = np.cumsum(n) - n
+            for a, b in zip(head.tolist(), [*head[1:].tolist(), len(best)], strict=True):
+                out.append((int(owner[a]), a - int(begin[owner[a]]), b - 1 - int(begin[owner[a]]), model.labels[best[a]], float(np.round(each[a:b, best[a]].mean(), 6))))
+            col = list(zip(*out, strict=True)) or [()] * 5
+            yield pa.record_batch([batch.column(0).take(pa.array(col[0], pa.int64())), *(pa.array(c, t) for c, t in zip(col[1:], (pa.int64(), pa.int64(), pa.string(), pa.float64()), strict=True))], names=["doc_id", "first", "last", "language", "score"])
+
+    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(label, T.StructType([docs.schema["doc_id"], T.StructField("first", T.LongType()), T.StructField("last", T.LongType()), T.StructField("language", T.StringType()), T.StructField("score", T.DoubleType())]))
+
+
 def keep_identified(docs: DataFrame, least: float = 0.35, most_docs: int = 3000) -> DataFrame:
     """The rows of ``docs`` with a predicted language whose score is at least ``least``, as they were.
 
     The bound is low so that text in two languages, or a short one with a foreign licence line, stays.
+    Null texts and texts without a letter go; repeated rows are treated alike; columns of any name are
+    carried along; an empty table, or one without a labelled row, gives an empty result.
     """
-    got = annotate(docs, most_docs, ("__language", "__share"))
-    return got.filter((F.col("__language") != "und") & (F.col("__share") >= least)).drop("__language", "__share")
+    language, share = fresh(docs, "language", "share")
+    got = annotate(docs, most_docs, (language, share))
+    return got.filter((F.col(language) != "und") & (F.col(share) >= least)).drop(language, share)
