@@ -1,7 +1,7 @@
 """Similarity join of documents on the Jaccard index of their word n-grams, by the chosen path.
 
-1. Each document becomes a set of hashes of its n-grams of words.  Equal sets are one *class* from here on,
-   so copies are never compared; a class is known by its least document.
+1. Each document becomes a set of hashes of its n-grams of words.  Equal sets (by 128 bits of hash and their
+   size) are one *class* from here on, so copies are never compared; a class is known by its least document.
 2. A class is embedded as ``HASHES`` min-wise values; two classes share a value with probability equal to
    their Jaccard index.  A run of the join chooses a path: at each level it samples positions and splits
    the bucket by the values there, until buckets have at most ``SMALL`` classes.  Small buckets are compared
@@ -27,14 +27,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .chunks import release
-from .shared import stash
+from .shared import fresh, stash
 
 HASHES = 64
 SMALL = 48
 PART = 1024  # classes of a large bucket in a block
 LEVELS = (1, 3)  # sampled positions in a bucket's path, by level
 SHINGLE = 5
-BLOCK = 256  # classes of a group that are checked together
+BLOCK = 128  # classes of a group that are checked together
 
 
 def runs_needed(threshold: float, recall: float = 0.999, level: int = 1) -> int:
@@ -281,7 +281,8 @@ def candidates(classes: DataFrame, threshold: float, runs: int, margin: float =
     found, large = [], None
     for level in range(len(LEVELS)):
         rows = stash(paths(values if large is None else large.join(values, "rep").select("rep", "values", "key", "run"), runs, level), "paths")
-        size = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+        # A table of its own beside the join: a large bucket's rows can be split over tasks.
+        size = stash(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "path-sizes")
         # Classes that are alone in their bucket go no further; only the others' values are looked up.
         shared = stash(rows.join(size, "key"), "path-buckets")
         found.append(compare(shared.filter(F.col("n") <= SMALL).select("key", "rep").join(values, "rep").select("key", "rep", "values"), least))
@@ -395,12 +396,14 @@ def place(docs: DataFrame, threshold: float, n: int, recall: float) -> DataFrame
     text = F.col("text").cast("string")
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
     drawn = stash(sketch(slim, n), "sketches")
-    classes = stash(drawn.groupBy("a").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"), F.first("size").alias("size"), F.first("values").alias("values")).withColumnRenamed("a", "rep"), "classes")
+    signature = ["a", "b", "size"]
+    classes = drawn.groupBy(*signature).agg(F.min(F.struct("doc_id", "text_hash")).alias("first"), F.first("values").alias("values"))
+    classes = stash(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")
     pairs = candidates(classes.filter("size > 0"), threshold, runs_needed(threshold, recall))
     groups = components(pairs)
     sizes = groups.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
-    members = groups.join(sizes, "root").join(classes.select("rep", "first"), F.col("node") == F.col("rep")).select(F.col("root").alias("grp"), "n", "rep", F.col("first.doc_id").alias("first"), F.col("first.text_hash").alias("first_hash"))
-    texts = slim.join(members, F.col("doc_id").eqNullSafe(F.col("first")) & (F.col("text_hash") == F.col("first_hash"))).select("grp", "n", "rep", "text")
+    members = groups.join(sizes, "root").join(classes.select("rep", "first", "a"), F.col("node") == F.col("rep")).select(F.col("root").alias("grp"), "n", "rep", F.col("first.doc_id").alias("first"), F.col("first.text_hash").alias("first_hash"), "a")
+    texts = slim.join(members, F.col("doc_id").eqNullSafe(F.col("first")) & (F.col("text_hash") == F.col("first_hash"))).select("grp", "n", "rep", "text", "a")
 
     def full(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -411,7 +414,7 @@ def place(docs: DataFrame, threshold: float, n: int, recall: float) -> DataFrame
                 piece = batch.slice(lo, 1000)
                 data = [shingles(w, n).tobytes() for w in word_hashes(piece.column(3).to_pylist())]
                 own = np.array([xxhash.xxh3_64_intdigest(d) for d in data], np.uint64).view(np.int64)
-                right = pa.array(own == piece.column(2).to_numpy())  # hashes of texts may meet
+                right = pa.array(own == piece.column(4).to_numpy())  # hashes of texts may meet
                 yield pa.record_batch([piece.column(0), piece.column(1), piece.column(2), pa.array(data, pa.binary())], names=["grp", "n", "rep", "set"]).filter(right)
 
     edges, links = verify(texts.mapInArrow(full, "grp long, n long, rep long, set binary"), threshold)
@@ -419,9 +422,11 @@ def place(docs: DataFrame, threshold: float, n: int, recall: float) -> DataFrame
     large = edges.filter("NOT whole AND rep <> root").select(F.col("rep").alias("a"), F.col("root").alias("b"))
     if not large.isEmpty():
         roots = roots.unionByName(components(large).toDF("rep", "root"))
-    known = drawn.select("doc_id", "text_hash", F.col("a").alias("rep")).join(roots.join(links, "rep"), "rep", "left")
-    root = F.coalesce("root", "rep").alias("root")
-    return known.select("doc_id", "text_hash", root, F.coalesce("links", F.lit(0)).cast("long").alias("n_links"))
+    linked = stash(roots.join(links, "rep").join(classes.select("rep", *signature), "rep").select(*signature, F.col("root").alias("own"), "links"), "linked")
+    known = drawn.select("doc_id", "text_hash", *signature).join(linked, signature, "left")
+    none = F.lit(None).cast("long")
+    root = F.when(F.col("own").isNotNull(), F.struct(F.col("own").alias("x"), none.alias("y"), none.alias("z"))).otherwise(F.struct(F.col("a").alias("x"), F.col("b").alias("y"), F.col("size").cast("long").alias("z")))
+    return known.select("doc_id", "text_hash", root.alias("root"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"))
 
 
 def join_documents(docs: DataFrame, threshold: float = 0.8, n: int = SHINGLE, recall: float = 0.999) -> DataFrame:
@@ -430,7 +435,7 @@ def join_documents(docs: DataFrame, threshold: float = 0.8, n: int = SHINGLE, re
     ``class_id`` is the least doc_id of the documents that verified links connect; ``n_links`` is how many
     different other sets the document's set links to (its copies have the same number).  Null and empty
     texts have the empty set and are copies of each other; a text of fewer than ``n`` words is one n-gram.
-    Sets are told apart by a 64-bit hash.  Repeated rows and ids, null too, are copies or links like any
+    Sets are told apart by two 64-bit hashes and their size.  Repeated rows and ids, null too, are copies or links like any
     other row; other columns are ignored; an empty table gives an empty result.
     """
     placed = place(docs, threshold, n, recall).drop("text_hash")
@@ -442,12 +447,15 @@ def join_documents(docs: DataFrame, threshold: float = 0.8, n: int = SHINGLE, re
 def keep_one(docs: DataFrame, threshold: float = 0.8, n: int = SHINGLE) -> DataFrame:
     """One row of ``docs`` for each class: that of least doc_id, then least text hash; null ids come last.
 
-    Ids may be null or reused: rows of different classes stay whatever their ids.
+    Ids may be null or reused: rows of different classes stay whatever their ids.  Null and blank texts are
+    copies of each other; of repeated rows one stays; columns of any name are carried along; an empty table
+    gives an empty result.
     """
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     best = place(docs, threshold, n, 0.999).groupBy("root").agg(F.min(order).alias("best"))
-    stay = best.select(F.col("best.doc_id").alias("__id"), F.col("best.text_hash").alias("__hash"))
-    rows = docs.withColumn("__text", F.xxhash64(F.col("text").cast("string")))
-    kept = rows.join(stay, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__hash")))
-    first = W.partitionBy("__id", "__hash").orderBy(F.lit(0))  # rows that repeat doc_id and text
-    return kept.withColumn("__k", F.row_number().over(first)).filter("__k = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    own, mark, text, k = fresh(docs, "own", "mark", "text_hash", "k")
+    stay = stash(best.select(F.col("best.doc_id").alias(own), F.col("best.text_hash").alias(mark)), "kept")
+    rows = docs.select("*", F.xxhash64(F.col("text").cast("string")).alias(text))
+    kept = rows.join(stay, F.col("doc_id").cast("long").eqNullSafe(F.col(own)) & (F.col(text) == F.col(mark)))
+    first = W.partitionBy(own, mark).orderBy(F.lit(0))  # rows that repeat doc_id and text
+    return kept.withColumn(k, F.row_number().over(first)).filter(F.col(k) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])
