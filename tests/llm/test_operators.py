@@ -327,6 +327,124 @@ def test_forward_backward_equals_enumeration():
     assert np.isclose(z, total) and np.allclose(two, pairs)
 
 
+def test_models_equal_brute_force(spark):
+    """Counts, discounts and log-ratios of both models, written out for every token."""
+    rng = np.random.default_rng(7)
+    words = [f"w{k}" for k in range(200)]
+    rows, labels = [], []
+    for i in range(500):
+        t, bad = rng.choice(words, 30).tolist(), i % 10 == 0
+        for _ in range(4 * bad):
+            k = int(rng.integers(29))
+            t[k : k + 2] = ["w1", f"slur{int(rng.integers(2))}"] if rng.random() < 0.5 else ["slur2", t[k + 1]]
+        rows.append((i, " ".join(t), "en", "s"))
+        labels.append((i, int(bad)))
+    rows += [(1000 + k, None if k else "", "en", "s") for k in range(2)]
+    train = {i: y for i, y in labels if zlib.crc32(str(i).encode()) % 5 in (1, 2, 3)}
+    text = {i: (t or "").split() for i, t, *_ in rows}
+    corpus, pairs_all = Counter(), Counter()
+    for t in text.values():
+        corpus.update(t)
+        pairs_all.update(zip(["", *t], t))
+    size = sum(corpus.values())
+    triples = [{x for i, y in train.items() if y == c for x in zip(["", "", *text[i]], ["", *text[i]], text[i])} for c in (0, 1)]
+    pair = [Counter((v, w) for _, v, w in t) for t in triples]
+    uni = [Counter(w for _, w in p) for p in pair]
+
+    def cut(counts):
+        n = [sum(x == k for x in counts.values()) for k in (1, 2, 3, 4)]
+        y = n[0] / max(n[0] + 2 * n[1], 1)
+        return min(max(np.ceil(3 - 4 * y * n[3] / max(n[2], 1)), 1), 3)
+
+    total = [sum(u.values()) for u in uni]
+    evidence = [{w: max(u[w] - cut(u) - toxicity.EXCESS * total[c] * corpus[w] / size, 0) for w in corpus} for c, u in enumerate(uni)]
+    p = [{w: (e[w] + (total[c] - sum(e.values())) * corpus[w] / size) / total[c] for w in corpus} for c, e in enumerate(evidence)]
+    mass = [Counter() for _ in (0, 1)]
+    for c in (0, 1):
+        for (v, _), f in pair[c].items():
+            mass[c][v] += f
+    strong = [{k: max(f - cut(pair[c]) - toxicity.EXCESS * max(mass[c][k[0]] * p[c][k[1]], sum(pair[c].values()) * pairs_all[k] / size), 0) for k, f in pair[c].items()} for c in (0, 1)]
+    assert sum(x > 0 for x in strong[1].values()) >= 2
+
+    def log(c, v, w):
+        m = max(mass[c][v], 1)
+        return np.log(strong[c].get((v, w), 0) / m + (m - sum(e for k, e in strong[c].items() if k[0] == v)) / m * p[c][w])
+
+    want = {i: np.mean([log(1, v, w) - log(0, v, w) for v, w in zip(["", *t], t)]) if t else 0.0 for i, t in text.items()}
+    df = table(spark, rows).select("doc_id", "text").cache()
+    models = toxicity._models(df, spark.sparkContext.broadcast((train, {})))
+    for i, t in text.items():
+        ids = np.array([models.id.get(w, len(models.word) - 1) for w in t], np.int64)
+        got = models.tokens(ids, np.zeros(1, np.int64)).mean() if t else 0.0
+        assert np.isclose(got, want[i]), (i, got, want[i])
+    # The query's score rises with this difference and with nothing else.
+    got = {r.doc_id: r.score for r in toxicity.score(df, spark.createDataFrame(labels, "doc_id long, toxic int")).collect()}
+    order = sorted(want, key=want.get)
+    assert all(got[a] <= got[b] + 1e-12 for a, b in zip(order[:-1], order[1:], strict=True)) and got[1000] == got[1001]
+
+
+def test_pieces_of_a_chain_equal_the_whole():
+    rng = np.random.default_rng(3)
+    m = language.Crf(["a", "b", "c"], {}, t=(3 * np.eye(3) + rng.normal(size=(3, 3))).astype(np.float64))
+    for size in ([70], [64, 3, 65], [500, 1, 129, 64 * 4], [8, 9, 2]):
+        table = rng.normal(size=(40, 3)) * rng.choice([0.0, 1.0], (40, 1))
+        m.emissions = lambda _, table=table: table
+        ids, n = rng.integers(0, 40, sum(size)), np.array(size)
+        mean, each = m.coded([], ids, n, words=True)
+        at = 0
+        for k, length in enumerate(size):
+            whole = m.marginals(table[ids[at : at + length]][None], np.ones((1, length), bool))[0]
+            assert np.allclose(each[at : at + length], whole, atol=1e-5) and np.allclose(mean[k], whole.mean(0), atol=1e-5)
+            at += length
+
+
+def test_language_sample_is_bounded_and_even(spark):
+    rows = [(None, f"nothing {i}", "en", "s") for i in range(4000)] + [(i, f"selten {i}", "de", "s") for i in range(9)] + [(1, "rare", f"l{i}", "s") for i in range(600)]
+    df = table(spark, rows).repartition(7)
+    got = language.sample(df, 3000)
+    count = Counter(y for y, _ in got)
+    assert len(count) == 602 and count["en"] == 4 and len(got) <= 3000
+    assert sorted(got) == sorted(language.sample(df.repartition(3), 3000))
+    few = Counter(y for y, _ in language.sample(df, 100))
+    assert len(few) == 100 and {"en", "de"} <= set(few)
+
+
+def test_language_query_equals_brute_force(spark):
+    """Every document's language and score by plain forward-backward over its whole chain."""
+    rng = np.random.default_rng(8)
+    en, de = EN.split(), DE.split()
+    texts = [" ".join([*rng.choice(en, int(rng.integers(1, 300))), *rng.choice(de, int(rng.integers(0, 200)))]) for _ in range(60)] + ["", None, "12 !"]
+    df = table(spark, [(i, t, "en" if i % 2 else "de", "s") for i, t in enumerate(texts)])
+    got = {r.doc_id: r for r in language.identify(df).collect()}
+    model = language.train(language.sample(df, 3000))
+    for i, t in enumerate(texts):
+        words = (t or "12").split() if t not in ("", "12 !") else []
+        words = [w for w in map(language.word_of, words) if w]
+        if not words:
+            assert (got[i].lang_pred, got[i].score) == ("und", 0.0)
+            continue
+        e = model.emissions(words).astype(float)
+        a, b = np.zeros_like(e), np.zeros_like(e)
+        x = np.exp(e - e.max(1, keepdims=True))
+        for k in range(len(words)):
+            a[k] = x[k] if not k else (a[k - 1] @ np.exp(model.t)) * x[k]
+            a[k] /= a[k].sum()
+        b[-1] = 1
+        for k in range(len(words) - 2, -1, -1):
+            b[k] = np.exp(model.t) @ (x[k + 1] * b[k + 1])
+            b[k] /= b[k].sum()
+        p = a * b / (a * b).sum(1, keepdims=True)
+        mean = p.mean(0)
+        assert abs(got[i].score - mean.max()) < 1e-4 and got[i].lang_pred in (model.labels[k] for k in np.flatnonzero(mean > mean.max() - 1e-4))
+    runs = language.spans(df).filter("doc_id < 60").collect()
+    by = {}
+    for r in runs:
+        by.setdefault(r.doc_id, []).append((r.first, r.last, r.language))
+    for i, t in enumerate(texts[:60]):
+        r = sorted(by[i])
+        assert r[0][0] == 0 and r[-1][1] == len(t.split()) - 1 and all(x[1] + 1 == y[0] and x[2] != y[2] for x, y in zip(r[:-1], r[1:], strict=True))
+
+
 def test_toxicity_held_out(spark):
     rng = np.random.default_rng(2)
     words = [f"w{k}" for k in range(300)]
