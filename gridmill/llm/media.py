@@ -138,7 +138,8 @@ def header_columns(head: bytes) -> tuple[str, int, int, str]:
 
 
 def read_media(at: DataFrame) -> DataFrame:
-    """Read the stored bytes of each digest back: size and sums of the payload, sum of the stored form."""
+    """Read the stored bytes of each digest back: its place, size and sums of the payload, sum of the stored form."""
+    kinds = "digest string, shard string, offset long, length long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_sha256 string"
 
     def read(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -151,17 +152,20 @@ def read_media(at: DataFrame) -> DataFrame:
                 data = get(shard).read_at(HEADER + length, offset)
                 frame = data[HEADER : HEADER + header_columns(data[: HEADER + FRAME])[1]]
                 payload = open_up.decompress(frame)
-                out.append((digest, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-UNIT:]), hashlib.sha256(frame).hexdigest()))
-            if out:
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string()), strict=True)], names=["digest", "payload_bytes", "payload_sha256", "tail_crc32", "media_sha256"])
+                out.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-UNIT:]), hashlib.sha256(frame).hexdigest()))
+            sums = [pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [()] * 4, (pa.int64(), pa.string(), pa.int64(), pa.string()), strict=True)]
+            yield pa.record_batch([*batch.columns, *sums], names=["digest", "shard", "offset", "length", "payload_bytes", "payload_sha256", "tail_crc32", "media_sha256"])
 
-    return _by_shard(at).mapInArrow(read, "digest string, payload_bytes long, payload_sha256 string, tail_crc32 long, media_sha256 string")
+    return _by_shard(at).mapInArrow(read, kinds)
 
 
 def media_columns(docs: DataFrame) -> DataFrame:
-    """Store all texts and fill every row's columns: metadata from headers, sums from the bytes read back."""
+    """Store all texts and fill every row's columns: metadata from headers, sums from the bytes read back.
+
+    Every row carries the digest, shard, offset and length of its payload; equal texts have one place.
+    """
     index = store(docs)
     at = stash(places(index), "media-places")
     heads = read_metadata(at).select("digest", "media_bytes", "feature")
     got = stash(read_media(at).join(heads, "digest"), "media-read")
-    return index.join(got, "digest").select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "digest", "shard", "offset", "length")
+    return index.select("doc_id", "n_bytes", "digest").join(got, "digest").select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "digest", "shard", "offset", "length")

@@ -46,7 +46,7 @@ def op7_arrow_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media.media_columns(documents(spark, sf_dir)).drop("digest", "shard", "offset", "length")
+    return media.media_columns(documents(spark, sf_dir))
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
