@@ -57,7 +57,7 @@ def test_bpe_and_arrow_equal_the_library(docs):
     got = bpe.encode_documents(docs, PATH, most=20, texts=True)
     want = sorted(((i, len(e), hashlib.sha256(" ".join(map(str, e)).encode()).hexdigest(), hashlib.sha256(t.decode(e, skip_special_tokens=False).encode()).hexdigest(), e) for i, e in enc), key=str)
     assert sorted(((r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256, r.ids) for r in got.collect()), key=str) == want
-    read = sorted(arrow_output.read_tokens(arrow_output.write_tokens(docs, PATH, length=16, rows=4)).collect(), key=lambda r: r.start)
+    read = sorted(arrow_output.read_tokens(arrow_output.write_tokens(docs, PATH, length=16, rows=4, most_ids=500)).collect(), key=lambda r: r.start)
     at = 0
     for r, (i, e) in zip(read, enc, strict=True):
         e = [*e, 2]
@@ -72,6 +72,9 @@ def test_sequences_and_masks_are_views(tmp_path):
         w.close()
     r = arrow_output.SequenceReader(f"file://{tmp_path}/a")
     assert r.ids(5, 100).tolist() == list(range(100)) and r.ids(105, 7).tolist() == list(range(7)) and r.ids(5, 0).tolist() == []
+    far = arrow_output.SequenceReader(f"file://{tmp_path}/a")
+    far.batches = None  # as on a file system that isn't local: one batch at a time, forward or anew
+    assert far.ids(5, 100).tolist() == list(range(100)) and far.ids(0, 5).tolist() == list(range(5)) and far.sequence(7)[0].tolist() == r.sequence(7)[0].tolist()
     ids, mask = r.sequence(1)
     assert ids.base is not None and ids.tolist() == list(range(11, 27)) and np.unpackbits(mask).all()
     assert np.unpackbits(r.sequence(7)[1]).sum() == 0
@@ -85,9 +88,10 @@ def test_media_payloads(docs):
         p = raw + b"\0" * (max(1, -(-len(raw) // 64)) * 64 - len(raw))
         want[(r.doc_id, len(raw), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-64:]))] += 1
     assert Counter((r.doc_id, r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) for r in got) == want
-    by = {}
+    by, place = {}, {}
     for r in got:
         assert by.setdefault(r.payload_sha256, (r.media_bytes, r.media_sha256, r.feature)) == (r.media_bytes, r.media_sha256, r.feature)
+        assert place.setdefault(r.digest, (r.shard, r.offset, r.length)) == (r.shard, r.offset, r.length) and r.digest == r.payload_sha256
     heads = media.read_metadata(media.places(media.store(docs))).collect()
     assert {(h.digest, h.payload_bytes) for h in heads} == {(r.payload_sha256, r.payload_bytes) for r in got} and all(h.media_name == h.digest for h in heads)
 
