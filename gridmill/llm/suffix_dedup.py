@@ -18,7 +18,7 @@ string is called a window.
 
 No step collects the segments of a key, a document's partners or pairs in one place.
 
-Segments count as equal if key, text hash (64 bits each) and size are; split keys compare windows by two
+Segments count as equal if key and text hash (64 bits each) are; split keys compare windows by two
 64-bit fingerprints.  All else compares bytes.
 """
 
@@ -28,13 +28,13 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .shared import stash
 
 GRAM = 32
-SLICE = 1 << 22  # bytes that are hashed at a time
+SLICE = 1 << 18  # bytes that are hashed at a time, so that they stay in the cache
 SHARD = 1 << 18  # bytes of a suffix array, which then stays in the processor's cache
 HOT = 1024  # segments of a key in one shard
 BASE = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
@@ -222,7 +222,7 @@ def spans(segment: np.ndarray, window: np.ndarray, length: int) -> tuple[np.ndar
 
 
 def _draw(rows: DataFrame, length: int) -> DataFrame:
-    """(doc_id, th, start, windows, key, s) of every segment of every text."""
+    """(doc_id, th, place, key, s) of every segment of every text; place: start and windows, see :func:`_place`."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -236,11 +236,16 @@ def _draw(rows: DataFrame, length: int) -> DataFrame:
                     part, start, windows, key, s = segments(data, first, size, length)
                     take = pa.array(number[part])
                     yield pa.record_batch(
-                        [piece.column(0).take(take), piece.column(1).take(take), pa.array(start - first[part] + offset[part]), pa.array(windows.astype(np.int32)), pa.array(key.view(np.int64)), pa.array(s.view(np.int64))],
-                        names=["doc_id", "th", "start", "windows", "key", "s"],
+                        [piece.column(0).take(take), piece.column(1).take(take), pa.array((start - first[part] + offset[part]) * 1024 + windows), pa.array(key.view(np.int64)), pa.array(s.view(np.int64))],
+                        names=["doc_id", "th", "place", "key", "s"],
                     )
 
-    return rows.mapInArrow(run, "doc_id long, th long, start long, windows int, key long, s long")
+    return rows.mapInArrow(run, "doc_id long, th long, place long, key long, s long")
+
+
+def _place(place: Column) -> list[Column]:
+    """start and windows of a segment, kept in one number: all its windows hold one string, so they are few."""
+    return [F.shiftright(place, 10).alias("start"), place.bitwiseAND(F.lit(1023)).cast("int").alias("windows")]
 
 
 def _texts(rows: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
@@ -271,7 +276,7 @@ def _texts(rows: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
 def _shards(parts: DataFrame, length: int) -> DataFrame:
     """Compare the windows of each shard.
 
-    Rows of repeated runs: (doc_id, th, low, high) of segments that occur once, (key, s, windows, low, high)
+    Rows of repeated runs: (doc_id, th, low, high) of segments that occur once, (key, s, low, high)
     counted from the segment's start of those that occur more often.  For split keys the sorted
     fingerprints of the shard's windows (``prints``) follow and those of each segment that occurs once.
     """
@@ -279,7 +284,7 @@ def _shards(parts: DataFrame, length: int) -> DataFrame:
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        kinds = (("doc_id", pa.int64()), ("th", pa.int64()), ("low", pa.int64()), ("high", pa.int64()), ("key", pa.int64()), ("salt", pa.int32()), ("start", pa.int64()), ("prints", pa.binary()), ("s", pa.int64()), ("windows", pa.int32()))
+        kinds = (("doc_id", pa.int64()), ("th", pa.int64()), ("low", pa.int64()), ("high", pa.int64()), ("key", pa.int64()), ("salt", pa.int32()), ("start", pa.int64()), ("prints", pa.binary()), ("s", pa.int64()))
         held: list[tuple] = []
         size = 0
 
@@ -290,17 +295,17 @@ def _shards(parts: DataFrame, length: int) -> DataFrame:
             hit = np.bincount(kind, often[segment])[kind] > 1
             out = []
             for k, a, b in zip(*(x.tolist() for x in spans(segment[hit], window[hit], length)), strict=True):
-                doc, th, start, n, key, *_, s, _ = rows[k]
-                out.append((doc, th, start + a, start + b, *[None] * 6) if often[k] == 1 else (None, None, a, b, key, None, None, None, s, n))
+                doc, th, start, _, key, *_, s, _ = rows[k]
+                out.append((doc, th, start + a, start + b, *[None] * 5) if often[k] == 1 else (None, None, a, b, key, None, None, None, s))
             for group in sorted({(r[4], r[5]) for r in rows if r[5] >= 0}):
                 every = []
                 for r in (r for r in rows if (r[4], r[5]) == group):
                     data, at = np.frombuffer(r[8], np.uint8), np.arange(r[3])
                     every.append(np.stack([Rolling(data, w).of(at, at + length) for w in (0, 1)], 1))
                     if r[6] == 1:
-                        out.append((r[0], r[1], None, None, *group, r[2], every[-1].tobytes(), None, None))
-                out.append((None, None, None, None, *group, None, np.unique(np.concatenate(every).view("u8,u8")).tobytes(), None, None))
-            return pa.record_batch([pa.array(c, t) for c, (_, t) in zip(zip(*out, strict=True) if out else [()] * 10, kinds, strict=True)], names=[n for n, _ in kinds])
+                        out.append((r[0], r[1], None, None, *group, r[2], every[-1].tobytes(), None))
+                out.append((None, None, None, None, *group, None, np.unique(np.concatenate(every).view("u8,u8")).tobytes(), None))
+            return pa.record_batch([pa.array(c, t) for c, (_, t) in zip(zip(*out, strict=True) if out else [()] * 9, kinds, strict=True)], names=[n for n, _ in kinds])
 
         for batch in batches:
             for r in zip(*(batch.column(k).to_pylist() for k in range(9)), strict=True):
@@ -314,7 +319,7 @@ def _shards(parts: DataFrame, length: int) -> DataFrame:
             yield solve(held)
 
     ready = parts.repartition("key", "salt").sortWithinPartitions("key", "salt")
-    return ready.mapInArrow(run, "doc_id long, th long, low long, high long, key long, salt int, start long, prints binary, s long, windows int")
+    return ready.mapInArrow(run, "doc_id long, th long, low long, high long, key long, salt int, start long, prints binary, s long")
 
 
 def _merge(solved: DataFrame, length: int) -> DataFrame:
@@ -375,16 +380,17 @@ def _merge(solved: DataFrame, length: int) -> DataFrame:
 def repeated_runs(rows: DataFrame, length: int) -> DataFrame:
     """(doc_id, th, low, high) byte runs to remove; they may overlap."""
     drawn = stash(_draw(rows, length), "segments")
-    alike = drawn.groupBy("key", "s", "windows").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "th", "start")).alias("one"))
+    alike = drawn.groupBy("key", "s").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "th", "place")).alias("one"))
     alike = stash(alike, "segment-kinds")
     keys = alike.groupBy("key").agg(F.count(F.lit(1)).alias("kinds"), F.max("n").alias("most"))
     keys = keys.filter("kinds > 1 OR most > 1")
     salt = F.when(F.col("kinds") > HOT, F.pmod(F.xxhash64("s"), F.ceil(F.col("kinds") / (HOT // 2)))).otherwise(-1).cast("int")
-    wanted = alike.join(keys, "key").select("one.doc_id", "one.th", "one.start", "windows", "key", salt.alias("salt"), "n", "s")
+    wanted = alike.join(keys, "key").select("one.doc_id", "one.th", *_place(F.col("one.place")), "key", salt.alias("salt"), "n", "s")
     solved = stash(_shards(_texts(rows, wanted, length), length), "shards")
     found = solved.filter("th IS NOT NULL AND low IS NOT NULL").select("doc_id", "th", "low", "high")
-    again = solved.filter("s IS NOT NULL").select("key", "s", "windows", "low", "high")
-    found = found.unionByName(drawn.join(again, ["key", "s", "windows"]).select("doc_id", "th", (F.col("start") + F.col("low")).alias("low"), (F.col("start") + F.col("high")).alias("high")))
+    again = solved.filter("s IS NOT NULL").select("key", "s", "low", "high")
+    start = _place(F.col("place"))[0]
+    found = found.unionByName(drawn.join(again, ["key", "s"]).select("doc_id", "th", (start + F.col("low")).alias("low"), (start + F.col("high")).alias("high")))
     if not solved.filter("prints IS NOT NULL").isEmpty():
         found = found.unionByName(_merge(solved, length))
     return found
@@ -399,6 +405,8 @@ def dedup(docs: DataFrame, length: int = 200, texts: bool = False) -> DataFrame:
     Other columns are ignored; an empty table gives an empty result.  With ``texts`` the remaining bytes
     follow as ``kept``.
     """
+    if not GRAM <= length < 1024:
+        raise ValueError("length must be from 32 to 1023")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("th"), F.col("text").cast("string").alias("text"))
     found = repeated_runs(rows, length)
     by_doc = found.groupBy(F.col("doc_id").alias("d"), F.col("th").alias("h")).agg(F.collect_set(F.struct("low", "high")).alias("runs"))
