@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from ..functions import tiles as T
 
+# Codes of geographic reference systems (WGS 84, NAD27, NAD83 and its later forms, ETRS89,
+# GDA94, GDA2020, JGD2000, JGD2011, CGCS2000, SIRGAS 2000).
+GEOGRAPHIC = (4326, 4979, 4267, 4269, 4617, 6318, 4258, 4283, 7844, 4612, 6668, 4490, 4674)
+
 
 def validate_headers(headers: DataFrame, size: int = T.PIXELS, tolerance: float = 1e-4) -> DataFrame:
     """``headers`` (tile_id, width, height, west, south, east, north; null width: no file) with ok and reason."""
@@ -33,9 +37,14 @@ def boundary_gate(boundary_cells: Column, flat_cells: Column) -> Column:
 
 
 def crs_gate(crs: Column) -> Column:
-    """Null for geographic reference systems; projected ones (UTM and web Mercator codes) are refused."""
-    code = F.regexp_extract(crs, r"EPSG:(\d+)", 1).try_cast("int")
-    return F.when(code.isNull() | code.between(32601, 32760) | code.isin(3857, 3395), "projected reference system")
+    """Null for geographic reference systems, else why not; a code that isn't known to be geographic is refused."""
+    code = F.regexp_extract(crs, r"^EPSG:(\d+)$", 1).try_cast("int")
+    return F.when(code.isNull(), "unknown reference system").when(~code.isin(*GEOGRAPHIC), F.concat(F.lit("not a geographic reference system: "), crs))
+
+
+def union_box(boxes: DataFrame) -> DataFrame:
+    """One row: the box around all of ``boxes`` (south, west, north, east), nulls without any."""
+    return boxes.agg(F.min("south").alias("south"), F.min("west").alias("west"), F.max("north").alias("north"), F.max("east").alias("east"))
 
 
 def coverage(values: DataFrame, valid: Column, least: float = 0.5) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -62,6 +63,96 @@ def bilinear(df: DataFrame, factor: int, height: int, width: int, value: Column,
     return out.groupBy(*keys, "row", "col").agg(F.sum(F.col("w") * F.col("v")).alias("num"), F.sum("w").cast("long").alias("den"))
 
 
+@dataclass(frozen=True)
+class Grid:
+    """Where the pixels of a north-up raster lie: west and north edges, pixel sizes, height and width."""
+
+    west: float
+    north: float
+    dx: float
+    dy: float
+    height: int
+    width: int
+
+    @classmethod
+    def of_tile(cls, lat_floor: int, lng_floor: int, size: int) -> Grid:
+        return cls(lng_floor, lat_floor + 1, 1 / size, 1 / size, size, size)
+
+    def same(self, other: Grid, tolerance: float = 1e-6) -> bool:
+        """The same shape, and edges that differ by less than a share of a pixel."""
+        near = lambda a, b, px: abs(a - b) <= tolerance * px
+        return (self.height, self.width) == (other.height, other.width) and near(self.west, other.west, self.dx) and near(self.north, other.north, self.dy) and near(self.dx * self.width, other.dx * self.width, self.dx) and near(self.dy * self.height, other.dy * self.height, self.dy)
+
+    def window(self, south: float, west: float, north: float, east: float) -> tuple[int, int, int, int]:
+        """(row0, row1, col0, col1) of the pixels that a box touches, within the raster."""
+        r0, r1 = round((self.north - north) / self.dy, 6), round((self.north - south) / self.dy, 6)
+        c0, c1 = round((west - self.west) / self.dx, 6), round((east - self.west) / self.dx, 6)
+        return max(0, int(r0 // 1)), min(self.height, int(-(-r1 // 1))), max(0, int(c0 // 1)), min(self.width, int(-(-c1 // 1)))
+
+    def cropped(self, row0: int, row1: int, col0: int, col1: int) -> Grid:
+        return Grid(self.west + col0 * self.dx, self.north - row0 * self.dy, self.dx, self.dy, row1 - row0, col1 - col0)
+
+
+def _axis(place: Column, scale: float, offset: float, reach: float, n: int) -> Column:
+    """The targets j in [0, n) with (j + 0.5) * scale + offset within ``reach`` of ``place``, as an array."""
+    first = F.greatest(F.ceil((place - reach - offset) / scale - 0.5), F.lit(0)).cast("int")
+    last = F.least(F.floor((place + reach - offset) / scale - 0.5), F.lit(n - 1)).cast("int")
+    return F.when(first <= last, F.sequence(first, last))
+
+
+def reproject_nearest(df: DataFrame, source: Grid, target: Grid, keys: Keys = ()) -> DataFrame:
+    """``df`` (keys, row, col, ...) on another grid: each target pixel takes the one its centre lies in.
+
+    Each source pixel is exploded to the targets that it covers, so nothing is shuffled; targets outside
+    the source have no row.
+    """
+    scale_r, scale_c = target.dy / source.dy, target.dx / source.dx
+    off_r, off_c = (source.north - target.north) / source.dy, (target.west - source.west) / source.dx
+    out = df.withColumn("tr", F.explode(_axis(F.col("row") + 0.5, scale_r, off_r, 0.5, target.height)))
+    out = out.filter(F.floor((F.col("tr") + 0.5) * scale_r + off_r) == F.col("row"))
+    out = out.withColumn("tc", F.explode(_axis(F.col("col") + 0.5, scale_c, off_c, 0.5, target.width)))
+    out = out.filter(F.floor((F.col("tc") + 0.5) * scale_c + off_c) == F.col("col"))
+    return out.withColumn("row", F.col("tr")).withColumn("col", F.col("tc")).drop("tr", "tc")
+
+
+def reproject_bilinear(df: DataFrame, source: Grid, target: Grid, value: Column, keys: Keys = ()) -> DataFrame:
+    """keys, row, col, value on another grid: the weighted mean of the valid ones of four source pixels.
+
+    Each source pixel sends its value to the targets whose centres are less than a pixel away; sums are made
+    before the shuffle.  Targets without a valid pixel near have no row.
+    """
+    scale_r, scale_c = target.dy / source.dy, target.dx / source.dx
+    off_r, off_c = (source.north - target.north) / source.dy, (target.west - source.west) / source.dx
+    src = df.select(*keys, F.col("row").alias("r0"), F.col("col").alias("c0"), value.cast("double").alias("v")).filter("v IS NOT NULL")
+    out = src.withColumn("row", F.explode(_axis(F.col("r0") + 0.5, scale_r, off_r, 1.0, target.height)))
+    out = out.withColumn("wr", 1 - F.abs((F.col("row") + 0.5) * scale_r + off_r - 0.5 - F.col("r0"))).filter("wr > 0")
+    out = out.withColumn("col", F.explode(_axis(F.col("c0") + 0.5, scale_c, off_c, 1.0, target.width)))
+    out = out.withColumn("w", F.col("wr") * (1 - F.abs((F.col("col") + 0.5) * scale_c + off_c - 0.5 - F.col("c0")))).filter("w > 0")
+    return out.groupBy(*keys, "row", "col").agg((F.sum(F.col("w") * F.col("v")) / F.sum("w")).alias("value"))
+
+
+def canonical(dem: DataFrame, source: Grid, target: Grid, other: DataFrame | None = None, nodata: float = R.NODATA) -> tuple[DataFrame, DataFrame]:
+    """(raster, gaps) on the target grid: crop, gap mask, fill from ``other``, then resampling if need be.
+
+    ``dem`` and ``other`` are (row, col, value) on the source grid.  The raster is bilinear and has nodata
+    where nothing is valid; ``gaps`` (row, col, gap) says by nearest pixel what had no value before filling.
+    """
+    window = source.window(target.north - target.dy * target.height, target.west, target.north, target.west + target.dx * target.width)
+    own = source.cropped(*window)
+    part = crop(dem.select("row", "col", "value"), *window)
+    gap = R.is_gap(F.col("value"), nodata)
+    gaps = part.select("row", "col", gap.cast("int").alias("gap"))
+    if other is not None:
+        part = fill_gaps(part, crop(other.select("row", "col", "value"), *window), gap).drop("filled")
+    if own.same(target):
+        return part, gaps
+    kind = dem.schema["value"].dataType
+    smooth = reproject_bilinear(part, own, target, F.when(R.has_elevation(F.col("value"), nodata), F.col("value")))
+    grid = dem.sparkSession.range(target.height * target.width).select(F.floor(F.col("id") / target.width).cast("int").alias("row"), (F.col("id") % target.width).cast("int").alias("col"))
+    full = grid.join(smooth, ["row", "col"], "left").select("row", "col", F.coalesce("value", F.lit(float(nodata))).cast("double" if kind.typeName() != "float" else "float").alias("value"))
+    return full, reproject_nearest(gaps, own, target)
+
+
 def merge_first_valid(sources: Sequence[DataFrame], nodata: float = R.NODATA, keys: Keys = ()) -> DataFrame:
     """keys, row, col, value, source: of each cell the value of the first source that has one.
 
@@ -76,10 +167,14 @@ def merge_first_valid(sources: Sequence[DataFrame], nodata: float = R.NODATA, ke
 RESOLUTION_RANK = {"1m": 0, "10m": 1, "30m": 2}
 
 
-def mosaic(tiles: DataFrame, nodata: float = R.NODATA) -> DataFrame:
-    """Tiles (resolution, row, col, value) on one global grid merged finest first."""
+def mosaic(tiles: DataFrame, nodata: float = R.NODATA, order: Sequence[str] = ()) -> DataFrame:
+    """Tiles (resolution, row, col, value) on one global grid merged finest first.
+
+    Of equal resolutions the first by the columns of ``order`` wins (a file's name or number); without
+    them the least value does.
+    """
     rank = F.coalesce(F.create_map(*[F.lit(x) for kv in RESOLUTION_RANK.items() for x in kv])[F.col("resolution")], F.lit(len(RESOLUTION_RANK)))
-    best = tiles.filter(F.col("value") > nodata + 1).groupBy("row", "col").agg(F.min(F.struct(rank.alias("rank"), "value")).alias("b"))
+    best = tiles.filter(F.col("value") > nodata + 1).groupBy("row", "col").agg(F.min(F.struct(rank.alias("rank"), *order, "value")).alias("b"))
     return best.select("row", "col", F.col("b.value").alias("value"))
 
 

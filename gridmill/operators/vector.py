@@ -9,7 +9,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
+from ..sources.rasters import stored
 
+Keys = Sequence[str]
 RINGS = "array<array<array<double>>>"
 FEATURE = f"type string, geometry struct<type: string, coordinates: string>, properties map<string, string>"  # noqa: F541
 
@@ -44,17 +46,17 @@ def overlapping(polygons: DataFrame, x0: float, y0: float, x1: float, y1: float,
     return polygons.filter((b["x0"] <= x1) & (b["x1"] >= x0) & (b["y0"] <= y1) & (b["y1"] >= y0))
 
 
-def edges(polygons: DataFrame, pid: str = "pid", rings: str = "rings") -> DataFrame:
-    """(pid, x1, y1, x2, y2) of all rings, holes too, closed if they aren't."""
-    ring = polygons.select(pid, F.explode(rings).alias("r")).filter(F.size("r") >= 3)
+def edges(polygons: DataFrame, pid: str = "pid", rings: str = "rings", keys: Keys = ()) -> DataFrame:
+    """(keys, pid, x1, y1, x2, y2) of all rings, holes too, closed if they aren't."""
+    ring = polygons.select(*keys, pid, F.explode(rings).alias("r")).filter(F.size("r") >= 3)
     # The last of ring + first point pairs every point with its successor.
     pairs = F.arrays_zip(F.col("r").alias("a"), F.concat(F.slice("r", 2, F.size("r") - 1), F.slice("r", 1, 1)).alias("b"))
-    e = ring.select(pid, F.explode(pairs).alias("e"))
-    return e.select(pid, *[F.col(f"e.{p}")[i].alias(f"{n}{k}") for k, p in ((1, "a"), (2, "b")) for i, n in ((0, "x"), (1, "y"))]).filter("x1 <> x2 OR y1 <> y2")
+    e = ring.select(*keys, pid, F.explode(pairs).alias("e"))
+    return e.select(*keys, pid, *[F.col(f"e.{p}")[i].alias(f"{n}{k}") for k, p in ((1, "a"), (2, "b")) for i, n in ((0, "x"), (1, "y"))]).filter("x1 <> x2 OR y1 <> y2")
 
 
-def rasterize(edge: DataFrame, height: int, width: int, pid: str = "pid") -> DataFrame:
-    """(pid, row, col) of pixels whose centres are inside, by even-odd scanlines.
+def rasterize(edge: DataFrame, height: int, width: int, pid: str = "pid", keys: Keys = ()) -> DataFrame:
+    """(keys, pid, row, col) of pixels whose centres are inside, by even-odd scanlines.
 
     An edge crosses the centre lines y = row + 0.5 with y_low <= y < y_high; crossings of a line are
     paired in order of x, and each pair is exploded to its columns.  No pixel is tested that isn't hit.
@@ -63,15 +65,20 @@ def rasterize(edge: DataFrame, height: int, width: int, pid: str = "pid") -> Dat
     r0, r1 = F.greatest(F.ceil(low - 0.5), F.lit(0)).cast("int"), F.least(F.ceil(high - 0.5) - 1, F.lit(height - 1)).cast("int")
     e = edge.withColumn("r0", r0).withColumn("r1", r1).filter("r0 <= r1").withColumn("row", F.explode(F.sequence("r0", "r1")))
     x = F.col("x1") + (F.col("row") + 0.5 - F.col("y1")) * (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))
-    order = W.partitionBy(pid, "row").orderBy("x")
-    c = e.select(pid, "row", x.alias("x")).withColumn("k", F.row_number().over(order)).withColumn("next", F.lead("x").over(order)).filter("k % 2 = 1")
+    order = W.partitionBy(*keys, pid, "row").orderBy("x")
+    c = e.select(*keys, pid, "row", x.alias("x")).withColumn("k", F.row_number().over(order)).withColumn("next", F.lead("x").over(order)).filter("k % 2 = 1")
     c0, c1 = F.greatest(F.ceil(F.col("x") - 0.5), F.lit(0)).cast("int"), F.least(F.ceil(F.col("next") - 0.5) - 1, F.lit(width - 1)).cast("int")
-    return c.withColumn("c0", c0).withColumn("c1", c1).filter("c0 <= c1").select(pid, "row", F.explode(F.sequence("c0", "c1")).alias("col"))
+    return c.withColumn("c0", c0).withColumn("c1", c1).filter("c0 <= c1").select(*keys, pid, "row", F.explode(F.sequence("c0", "c1")).alias("col"))
 
 
-def label_cells(cells: DataFrame, label: Column) -> DataFrame:
-    """(row, col, label): the greatest label of each cell."""
-    return cells.groupBy("row", "col").agg(F.max(label).alias("label"))
+def label_cells(cells: DataFrame, label: Column, keys: Keys = ()) -> DataFrame:
+    """(keys, row, col, label): the greatest label of each cell."""
+    return cells.groupBy(*keys, "row", "col").agg(F.max(label).alias("label"))
+
+
+def reaches_out(rings: Column, height: int, width: int) -> Column:
+    """Whether any vertex lies outside the raster: the body goes on in a neighbouring tile."""
+    return F.exists(rings, lambda r: F.exists(r, lambda p: (p[0] < 0) | (p[0] > width) | (p[1] < 0) | (p[1] > height)))
 
 
 def spread_bits(x: Column) -> Column:
@@ -103,7 +110,29 @@ def morton_order(centres: DataFrame, lat: str = "lat", lng: str = "lng") -> Data
     return got.drop(*[f"{n}_{c}" for c in (lat, lng) for n in ("lo", "hi")])
 
 
-def batches(ordered: DataFrame, size: int, order: Sequence[str | Column]) -> DataFrame:
+def numbered(rows: DataFrame, order: Sequence[str]) -> DataFrame:
+    """``rows`` with ``n``, their place from 0 in the order of columns that make rows distinct.
+
+    Rows are range-partitioned and numbered within their partition; the sizes of the partitions before,
+    one number each, are added.  No task sees all rows.
+    """
+    spread = stored(rows.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "numbered")
+    sizes = [(r.part, r["count"]) for r in spread.groupBy("part").count().collect()]
+    before, total = [], 0
+    for part, n in sorted(sizes):
+        before.append((part, total))
+        total += n
+    offsets = rows.sparkSession.createDataFrame(before, "part int, before long")
+    own = F.row_number().over(W.partitionBy("part").orderBy(*order)) - 1
+    return spread.withColumn("n", own).join(F.broadcast(offsets), "part").withColumn("n", (F.col("n") + F.col("before")).cast("long")).drop("part", "before")
+
+
+def batches(rows: DataFrame, size: int, order: Sequence[str]) -> DataFrame:
     """``batch`` number of consecutive slices of ``size`` rows."""
-    w = W.partitionBy(F.lit(0)).orderBy(*order)
-    return ordered.withColumn("batch", F.floor((F.row_number().over(w) - 1) / size).cast("int"))
+    return numbered(rows, order).withColumn("batch", F.floor(F.col("n") / size).cast("int")).drop("n")
+
+
+def chunks(rows: DataFrame, many: int, order: Sequence[str]) -> DataFrame:
+    """``chunk`` number of at most ``many`` slices of equal size, rounded up."""
+    size = max(1, -(-rows.count() // many))
+    return numbered(rows, order).withColumn("chunk", F.floor(F.col("n") / size).cast("int")).drop("n")

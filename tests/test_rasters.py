@@ -201,6 +201,35 @@ def test_tiff_round_trip(spark, tmp_path):
     assert rasters.list_files(spark, str(tmp_path)).count() == 1
 
 
+@pytest.mark.parametrize(("tile", "predictor", "big", "deflate"), [(0, 1, False, True), (16, 2, True, True), (32, 3, False, True), (16, 3, True, False), (0, 2, True, False)])
+def test_tiff_layouts(tile, predictor, big, deflate):
+    rng = np.random.default_rng(tile + predictor)
+    z = rng.normal(500, 90, (300, 75)).astype(np.float32)
+    z[3, 4] = -9999
+    data = rasters.encode_tiff(z, -110.0, 46.0, 0.01, tile=tile, predictor=predictor, big=big, deflate=deflate, crs=26912 if big else 4269)
+    values, head = rasters.decode_tiff(data)
+    assert (values == z).all() and head["crs"] == ("EPSG:26912" if big else "EPSG:4269") and np.isclose(head["east"], -109.25)
+    reads = []
+    tiff = rasters.Tiff(lambda o, n: reads.append(n) or data[o : o + n])
+    assert sum(reads) < 2000 + 16 * len(tiff.places) and tiff.header == head  # pixels aren't read for the header
+    offset, size = tiff.places[-1]
+    with pytest.raises((ValueError, rasters.zlib.error)):  # a block that can't be read
+        list(rasters.Tiff(lambda o, n: data[o : o + n // 2] if o == offset and n == size else data[o : o + n]).blocks())
+
+
+def test_write_tiffs(spark, tmp_path):
+    rng = np.random.default_rng(1)
+    z = {n: rng.integers(0, 900, (40, 40)).astype(float) for n in ("N45W110", "S03E007")}
+    df = pixels(spark, z["N45W110"]).withColumn("tile_id", F.lit("N45W110")).unionByName(pixels(spark, z["S03E007"]).withColumn("tile_id", F.lit("S03E007")).filter("row < 39"))
+    index = rasters.write_tiffs(df, f"file://{tmp_path}/t", 40, tile=16).collect()
+    assert {r.tile_id for r in index} == set(z)
+    heads = {r.path.rpartition("/")[2][:7]: r for r in rasters.read_headers(spark, str(tmp_path / "t")).collect()}
+    assert (heads["S03E007"].south, heads["S03E007"].west, heads["S03E007"].readable) == (-3.0, 7.0, True)
+    z["S03E007"][39] = -9999
+    for name, want in z.items():
+        assert (array(rasters.read_tiffs(spark, str(tmp_path / "t")).filter(F.col("path").contains(name)), "value", (40, 40)) == want).all()
+
+
 def test_features(spark, tmp_path):
     text = '{"type":"FeatureCollection","features":[{"type":"Feature","geometry":{"type":"Polygon","coordinates":[[[0,0],[1,0],[1,1],[0,0]]]},"properties":{"Name":"A","FType":"390"}},{"type":"Feature","geometry":null,"properties":{}}]}'
     (tmp_path / "x.json").write_text(text)
