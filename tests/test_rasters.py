@@ -264,6 +264,139 @@ def test_mosaic_and_repair(spark, tmp_path):
     assert (status, n) == ("repaired", {"before": 1, "after": 0}) and array(fixed, "value", (4, 4))[0, 0] == 9
 
 
+def test_mosaic_of_two_resolutions_and_ties(spark):
+    ten, thirty = np.arange(16.0).reshape(4, 4), np.array([[40.0, 80.0], [40.0, 80.0]])
+    a = pixels(spark, ten).filter("col < 2").withColumn("tile_id", F.lit("N45W110")).withColumn("resolution", F.lit("10m"))
+    b = pixels(spark, thirty).withColumn("tile_id", F.lit("N45W110")).withColumn("resolution", F.lit("30m"))
+    got = array(pipelines.mosaic(a.unionByName(b), 45.0, -110.0, 46.0, -109.0, {"10m": 4, "30m": 2}), "value", (4, 4))
+    assert (got[:, :2] == ten[:, :2]).all() and got[:, 2:].tolist() == [[70.0, 80.0]] * 4
+    two = [pixels(spark, np.full((2, 2), v)).withColumn("resolution", F.lit("10m")).withColumn("path", F.lit(p)) for v, p in ((900.0, "a.tif"), (100.0, "b.tif"))]
+    assert (array(resample.mosaic(two[0].unionByName(two[1]), order=["path"]), "value", (2, 2)) == 900).all()
+
+
+def test_reproject(spark):
+    rng = np.random.default_rng(2)
+    z = rng.uniform(0, 90, (7, 9))
+    z[2, 3] = -9999
+    source, target = resample.Grid(10.0, 50.0, 0.1, 0.1, 7, 9), resample.Grid(10.13, 49.87, 0.037, 0.041, 11, 16)
+    got = array(resample.reproject_bilinear(pixels(spark, z), source, target, F.when(F.col("value") > -9998, F.col("value"))), "value", (11, 16))
+    near = array(resample.reproject_nearest(pixels(spark, z), source, target), "value", (11, 16))
+    for r in range(11):
+        for c in range(16):
+            y, x = (50.0 - (49.87 - (r + 0.5) * 0.041)) / 0.1, (10.13 + (c + 0.5) * 0.037 - 10.0) / 0.1
+            assert near[r, c] == z[int(y), int(x)]
+            num = den = 0.0
+            for i in range(7):
+                for j in range(9):
+                    w = max(0, 1 - abs(y - 0.5 - i)) * max(0, 1 - abs(x - 0.5 - j))
+                    if w and z[i, j] > -9998:
+                        num, den = num + w * z[i, j], den + w
+            assert np.isclose(got[r, c], num / den)
+
+
+def test_canonical_grid(spark):
+    z = np.full((6, 6), 5.0)
+    z[1, 1] = -9999
+    tile = resample.Grid.of_tile(45, -110, 4)
+    around = resample.Grid(-110.25, 46.25, 0.25, 0.25, 6, 6)
+    dem, gaps = resample.canonical(pixels(spark, z), around, tile, pixels(spark, np.full((6, 6), 7.0)))
+    assert array(dem, "value", (4, 4))[0, 0] == 7 and array(gaps, "gap", (4, 4)).sum() == 1 and around.cropped(1, 5, 1, 5).same(tile)
+    fine, gaps = resample.canonical(pixels(spark, z), around, resample.Grid.of_tile(45, -110, 8))
+    assert np.isin(array(fine, "value", (8, 8)), (5, -9999)).all() and fine.filter("value < 0").count() == 1  # next to the gap alone
+    assert array(gaps, "gap", (8, 8))[:2, :2].all() and gaps.agg(F.sum("gap")).first()[0] == 4 and fine.count() == 64
+
+
+def test_numbering_and_chunks(spark):
+    df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("k"))
+    got = {r.k: r.n for r in vector.numbered(df.repartition(5), ["k"]).collect()}
+    assert got == {k: k for k in range(1000)}
+    assert sorted((r.chunk, r["count"]) for r in vector.chunks(df, 3, ["k"]).groupBy("chunk").count().collect()) == [(0, 334), (1, 334), (2, 332)]
+
+
+def test_registered_builds(spark, tmp_path):
+    root, made = f"file://{tmp_path}/root", []
+
+    def make(ok=True, mb=1):
+        def run(out):
+            made.append(out)
+            spark.range(mb).write.mode("overwrite").parquet(f"{out}/dem")
+            b = pipelines.Build("x")
+            b.add("dem", None if ok else "no elevation")
+            return b
+
+        return run
+
+    build = lambda tile, now, **kw: pipelines.build_registered(spark, root, tile, kw.pop("make", make()), now, **kw)
+    state = lambda: {r.tile_id: r for r in rasters.read_registry(spark, f"{root}/registry.json").collect()}
+    assert build("N45W110", "t1").success and state()["N45W110"].status == "ready" and state()["N45W110"].size_mb > 0
+    assert build("N45W110", "t2").steps[0].name == "skipped" and len(made) == 1
+    assert not build("N45W109", "t2", make=make(False)).success and state()["N45W109"].failed_reason == "no elevation"
+    refused = build("N45W108", "t3", estimate_mb=10.0, cap_gb=5 / 1024)
+    assert not refused.success and refused.steps[-1].name == "capacity" and state()["N45W108"].status == "failed" and len(made) == 2
+    assert build("N45W107", "t4", estimate_mb=10.0, cap_gb=5 / 1024, policy="warn").steps[0].detail["warning"]
+    small = state()["N45W110"].size_mb
+    lru = build("N45W106", "t5", estimate_mb=1.0, cap_gb=(1.0 + small * 1.5) / 1024, policy="lru", protected=("N45W107",))
+    assert lru.success and lru.steps[0].detail["evicted"] == ["N45W110"] and "N45W110" not in state() and not (tmp_path / "root/tiles/N45W110").exists()
+    assert pipelines.prune_failed(spark, root, "t6") == ["N45W108", "N45W109"] and set(state()) == {"N45W106", "N45W107"}
+
+
+def test_correct_all_resumes(spark, tmp_path):
+    z = np.full((20, 20), 50.0)
+    z[5:11, 5:11] += np.arange(36).reshape(6, 6) % 7
+    ring = [[[5.0, 5.0], [11.0, 5.0], [11.0, 11.0], [5.0, 11.0], [5.0, 5.0]]]
+    names = ["N45W110", "N45W109", "N46W110"]
+    both = [pixels(spark, z + i).withColumn("tile_id", F.lit(n)) for i, n in enumerate(names)]
+    rasters.write_pixels(both[0].unionByName(both[1]), str(tmp_path / "raw"))
+    polygons = spark.createDataFrame([(n, 0, ring) for n in names[:1]] + [(names[2], 1, ring)], "tile_id string, pid int, rings array<array<array<double>>>")
+    run = lambda: {r.tile_id: (r.polygons, r.corrected) for r in pipelines.correct_all(spark, str(tmp_path / "raw"), str(tmp_path / "out"), polygons, 20, 20).collect()}
+    assert run() == {"N45W110": (1, 1), "N45W109": (0, 0)}
+    rasters.write_pixels(both[0].unionByName(both[1]).unionByName(both[2]), str(tmp_path / "raw"))
+    assert run() == {"N46W110": (1, 1)}
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert (array(got.filter("tile_id = 'N45W110'"), "value", (20, 20)) == 50).all() and (array(got.filter("tile_id = 'N45W109'"), "value", (20, 20)) == z + 1).all() and got.count() == 1200
+
+
+def test_repair_in_place_keeps_a_backup(spark, tmp_path):
+    z, path = np.full((20, 20), 50.0), f"file://{tmp_path}/dem"
+    z[5:9, 5:9], z[0, 0] = 53, -9999
+    ring = [[[5.0, 5.0], [9.0, 5.0], [9.0, 9.0], [5.0, 9.0], [5.0, 5.0]]]
+    water_ = spark.createDataFrame([(0, ring)], "pid int, rings array<array<array<double>>>")
+    pixels(spark, z).write.parquet(path)
+    other = lambda: pixels(spark, np.full((20, 20), 50.0))
+    assert pipelines.repair_stored(spark, path, other, 20, 20, dry_run=True)[0] == "dry_run"
+    status, n = pipelines.repair_stored(spark, path, other, 20, 20, water_)
+    assert status == "repaired" and n["after"] == 0 and n["water"]["corrected"] == 1
+    assert (array(spark.read.parquet(path), "value", (20, 20)) == 50).all() and (array(spark.read.parquet(f"{path}.bak"), "value", (20, 20)) == z).all()
+
+
+def test_study_area_download(spark, tmp_path):
+    good = rasters.encode_tiff(np.random.default_rng(0).normal(size=(60, 60)), 0, 1, 1 / 60)
+
+    def transport(url):
+        return None if "n46w110" in url else good if "USGS" in url and "n46" in url else good[: len(good) // 2] if "W110" in url else good
+
+    plan = pipelines.download_study_area(spark, "a", "N45W110", "N46W109", "", dry_run=True).collect()
+    assert len(plan) == 4 and all(r.candidates == ["10m", "30m"] and r.status == "planned" for r in plan)
+    got = {r.tile_id: r for r in pipelines.download_study_area(spark, "a", "N45W110", "N46W109", f"file://{tmp_path}/s", transport).collect()}
+    assert (got["N45W109"].label, got["N45W110"].status, got["N46W109"].label) == ("10m", "missing", "30m" if got["N46W109"].label == "30m" else "10m")
+    assert "manifest.json" in {p.name for p in (tmp_path / "s").iterdir()} and rasters.open_tiff(got["N45W109"].path).w == 60
+
+
+def test_shoreline_sample_and_masked_percentile(spark):
+    z = np.full((9, 9), 30.0)
+    z[3:6, 3:6], z[2, 3:6] = 10, 20
+    mask = pixels(spark, z).filter("value = 10").select("row", "col")
+    got = water.sample_shoreline(pixels(spark, z), mask, 9, 9, 1, 0.0).first()
+    assert (got.surface, got.n) == (20.0, 12)
+    assert water.masked_percentile(pixels(spark, z), mask, 0.5).first().surface == 10 and water.masked_percentile(pixels(spark, z), mask.limit(0), 0.5).first().surface == 0.0
+
+
+def test_reference_systems(spark):
+    df = spark.createDataFrame([("EPSG:4326",), ("EPSG:4269",), ("EPSG:26912",), ("EPSG:5070",), ("EPSG:32612",), (None,)], "crs string")
+    got = [r[0] for r in df.select(checks.crs_gate(F.col("crs"))).collect()]
+    assert [g is None for g in got] == [True, True, False, False, False, False]
+
+
 def test_access_stream(spark, tmp_path):
     from gridmill.streaming import access_log
 
