@@ -190,6 +190,11 @@ def pixel_window(bounds: Sequence[float], west: float, north: float, px: float,
     return int((north - n) / px) - pad, int((north - s) / px) + pad, int((w - west) / px) - pad, int((e - west) / px) + pad
 
 
+def pixel_corner(lat: Column, lng: Column, west: float, north: float, px: float, pad: int = 0) -> tuple[Column, Column]:
+    """(row, col) of a point, truncated towards zero and moved up and left by ``pad``."""
+    return ((north - lat) / px).cast("int") - pad, ((lng - west) / px).cast("int") - pad
+
+
 def fill_gaps(dem: DataFrame, other: DataFrame, gap: Column, keys: Keys = ()) -> DataFrame:
     """``dem`` with gap values replaced by ``other``'s at the same cell: keys, row, col, value, filled."""
     second = other.select(*keys, "row", "col", F.col("value").alias("other"))

@@ -28,6 +28,11 @@ PONDS = """CAST(s_suppkey AS INT) AS pid, s_name AS name, CAST(8+(s_suppkey*29)%
  CAST(2+s_suppkey%4 AS INT) AS hw, CAST(2+s_suppkey%3 AS INT) AS hh, CAST(s_suppkey%2 AS INT) AS is_rect,
  CAST(CASE s_suppkey%5 WHEN 0 THEN 466 WHEN 1 THEN 436 ELSE 390 END AS INT) AS ftype"""
 
+# Rasters and ponds by tile, a tile for every ten suppliers: these grow with the tables.
+PART = 60
+TILE_HEIGHT = "CAST(4000 + 90 * ((t * 7 + CAST(floor(r / 12) + floor(c / 12) AS BIGINT)) % 5) + 13 * ((r * 5 + c * 3 + t) % 4) AS INT)"
+TILE_PONDS = """CAST(s_suppkey DIV 10 AS INT) AS t, CAST(s_suppkey AS INT) AS pid, CAST(7 + (s_suppkey * 29) % 46 AS INT) AS cx, CAST(7 + (s_suppkey * 43) % 46 AS INT) AS cy, CAST(1 + s_suppkey % 4 AS INT) AS hw, CAST(1 + s_suppkey % 3 AS INT) AS hh"""
+
 SQL = f"""
 points AS (SELECT {POINTS} FROM events),
 located AS (SELECT *, CAST(floor(lat_c / 100) AS INT) AS lat_floor, CAST(floor(lng_c / 100) AS INT) AS lng_floor FROM points),
@@ -40,7 +45,10 @@ coarse AS (SELECT CAST(r AS INT) AS r, CAST(c AS INT) AS c, {COARSE} AS z FROM g
 ponds AS (SELECT {PONDS} FROM supplier),
 inside AS (SELECT pid, name, ftype, CAST(r AS INT) AS r, CAST(c AS INT) AS c FROM ponds, grid
   WHERE CASE WHEN is_rect = 1 THEN abs(c + 0.5 - cx - {SHIFT}) < hw AND abs(r + 0.5 - cy) < hh ELSE abs(c + 0.5 - cx - {SHIFT}) / hw + abs(r + 0.5 - cy) / hh < 1 END),
-labels_ AS (SELECT r, c, max(pid + 1) AS label FROM inside WHERE ftype IN (390, 436, 493) GROUP BY r, c)
+labels_ AS (SELECT r, c, max(pid + 1) AS label FROM inside WHERE ftype IN (390, 436, 493) GROUP BY r, c),
+tponds AS (SELECT {TILE_PONDS.replace("s_suppkey DIV 10", "s_suppkey // 10")} FROM supplier),
+tdem AS (SELECT t, CAST(r AS INT) AS r, CAST(c AS INT) AS c, {TILE_HEIGHT} AS z FROM (SELECT DISTINCT t FROM tponds) CROSS JOIN range(0, {PART}) AS a(r) CROSS JOIN range(0, {PART}) AS b(c)),
+tlabels AS (SELECT t, CAST(r AS INT) AS r, CAST(c AS INT) AS c, max(pid + 1) AS label FROM tponds, range(0, {PART}) AS a(r), range(0, {PART}) AS b(c) WHERE abs(c + 0.5 - cx - {SHIFT}) < hw AND abs(r + 0.5 - cy) < hh GROUP BY 1, 2, 3)
 """
 
 
@@ -81,6 +89,19 @@ def ponds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.withColumn("rings", F.expr(f"array(CASE WHEN is_rect = 1 THEN array({corners}) ELSE array({tips}) END)"))
 
 
+def tile_ponds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(t, pid, rings) in each tile's pixels, and the numbers they are made of."""
+    got = _table(spark, sf_dir, "supplier").selectExpr(*_split(TILE_PONDS))
+    corners = ", ".join(f"array(cx + {SHIFT}D {a} hw, CAST(cy {b} hh AS DOUBLE))" for a, b in [("-", "-"), ("+", "-"), ("+", "+"), ("-", "+"), ("-", "-")])
+    return got.withColumn("rings", F.expr(f"array(array({corners}))"))
+
+
+def tile_dem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(t, row, col, value): a raster a tile."""
+    tiles = tile_ponds(spark, sf_dir).select("t").distinct()
+    return tiles.selectExpr("t", f"explode(sequence(0, {PART - 1})) AS r").selectExpr("t", "r", f"explode(sequence(0, {PART - 1})) AS c").selectExpr("t", "r AS row", "c AS col", f"{TILE_HEIGHT} AS value")
+
+
 def _split(columns: str) -> list[str]:
     """Select items of a list that has commas inside brackets too."""
     out, depth, last = [], 0, 0

@@ -12,6 +12,8 @@ from .functions import tiles as T
 from .functions import urls
 from .operators import blocks, checks, cover, fetch, focal, masks, registry, resample, stats, vector, water
 from .plans import fixtures as X
+from .plans import pipelines
+from .sources import rasters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -57,6 +59,13 @@ def judged(spark, d) -> DataFrame:
     return water.judge(got, 12, 10.0 * U, 2.5 * U)
 
 
+def levelled(spark, d) -> tuple[DataFrame, DataFrame]:
+    """The raster before and after correction; it and the label cells are computed once."""
+    dem, cells = rasters.stored(X.dem(spark, d), "dem"), rasters.stored(pond_cells(spark, d), "cells")
+    found = water.judge(water.measure(dem, cells, S, S, buffer=3, percentile=0.1, unit=U), 12, 10.0 * U, 2.5 * U)
+    return dem, water.apply(dem, cells, found)
+
+
 def flat(spark, d) -> DataFrame:
     dem = X.dem(spark, d)
     return focal.flat_mask(dem, R.zero_filled(F.col("value"), NONE).cast("long"), S, S, 5, 4 * U * U)
@@ -442,13 +451,12 @@ def water_flagged(spark, d):
 
 @query(f"CTE {BODIES} SELECT dem.r AS row, dem.c AS col, round(coalesce(surface, z::DOUBLE), 3) AS value FROM dem LEFT JOIN labels_ l ON dem.r = l.r AND dem.c = l.c LEFT JOIN j ON l.label = j.label AND status = 'corrected'")
 def water_corrected_dem(spark, d):
-    return water.apply(X.dem(spark, d), pond_cells(spark, d), judged(spark, d)).withColumn("value", F.round("value", 3))
+    return levelled(spark, d)[1].withColumn("value", F.round("value", 3))
 
 
 @query(f"CTE {BODIES} SELECT dem.r AS row, dem.c AS col, round(surface - z, 3) AS change FROM dem JOIN labels_ l ON dem.r = l.r AND dem.c = l.c JOIN j ON l.label = j.label AND status = 'corrected' WHERE surface <> z")
 def dem_diff(spark, d):
-    dem = X.dem(spark, d)
-    after = water.apply(dem, pond_cells(spark, d), judged(spark, d))
+    dem, after = levelled(spark, d)
     return resample.difference(after, dem).withColumn("change", F.round("change", 3)).filter("change <> 0")
 
 
@@ -541,3 +549,244 @@ def batch_numbers(spark, d):
 @query("SELECT CAST(r AS INT) AS row, CAST(c AS INT) AS col, CAST(0 AS FLOAT) AS value FROM grid")
 def ocean_tile(spark, d):
     return fetch.constant_tile(spark, S)
+
+
+# -- grids, files and pipelines
+
+
+@query("SELECT event_id, abs((1.0::DOUBLE / 10800) * (1 + (event_id % 9 - 4) * 0.00003::DOUBLE) - 1.0::DOUBLE / 10800) <= 0.0001::DOUBLE / 10800 AND user_id % 5 <> 0 AS standard FROM points")
+def standard_grid(spark, d):
+    rx = F.lit(T.GRID) * (1 + (F.col("event_id") % 9 - 4) * 0.00003)
+    ry = F.when(F.col("user_id") % 5 == 0, -T.GRID).otherwise(T.GRID)
+    return X.points(spark, d).select("event_id", T.is_standard_grid(rx, ry).alias("standard"))
+
+
+@query("SELECT 'area' AS name, 'best' AS resolution, 44 AS south, -113 AS west, 47 AS north, -108 AS east, CAST(15 AS BIGINT) AS n_tiles, round(5 * 111.32 * cos(radians(45.5)), 6) AS width_km, round(3 * 111.32::DOUBLE, 6) AS height_km", fixtures=False)
+def study_area(spark, d):
+    got = cover.study_area(spark, "area", "N46W113", "N44W109")
+    return got.withColumn("width_km", F.round("width_km", 6)).withColumn("height_km", F.round("height_km", 6))
+
+
+@query("SELECT event_id, CAST(trunc((4500 - lat_c) / 25.0::DOUBLE) AS INT) - 5 AS row, CAST(trunc((lng_c + 11000) / 25.0::DOUBLE) AS INT) - 5 AS col FROM points")
+def pixel_boxes(spark, d):
+    row, col = resample.pixel_corner(F.col("lat"), F.col("lng"), -110.0, 45.0, 0.25, 5)
+    return X.points(spark, d).select("event_id", row.alias("row"), col.alias("col"))
+
+
+@query("SELECT ev_id, CASE ev_id % 6 WHEN 0 THEN NULL WHEN 1 THEN NULL WHEN 2 THEN 'not a geographic reference system: EPSG:26912' WHEN 3 THEN 'not a geographic reference system: EPSG:5070' WHEN 4 THEN 'not a geographic reference system: EPSG:32612' ELSE 'unknown reference system' END AS why FROM log")
+def crs_gate(spark, d):
+    codes = F.array(*[F.lit(c) for c in ("EPSG:4326", "EPSG:4269", "EPSG:26912", "EPSG:5070", "EPSG:32612")])
+    crs = F.when(F.col("ev_id") % 6 < 5, F.get(codes, (F.col("ev_id") % 6).cast("int")))
+    return X.log(spark, d).select("ev_id", checks.crs_gate(crs).alias("why"))
+
+
+@query("SELECT CAST(min(lat_floor) AS DOUBLE) AS south, CAST(min(lng_floor) AS DOUBLE) AS west, CAST(max(lat_floor) + 1 AS DOUBLE) AS north, CAST(max(lng_floor) + 1 AS DOUBLE) AS east FROM located")
+def tile_box_union(spark, d):
+    return checks.union_box(located(spark, d).select(T.bounds(F.col("lat_floor"), F.col("lng_floor")).alias("b")).select("b.*"))
+
+
+@query("""CTE a AS (SELECT * FROM coarse WHERE c >= 40), b AS (SELECT * FROM dem WHERE z > -99980 AND r < 80), o AS (SELECT r, c, CAST(7 AS INT) AS z FROM grid WHERE r >= 100 AND c < 60)
+SELECT CAST(g.r AS INT) AS row, CAST(g.c AS INT) AS col, coalesce(o.z, a.z, b.z) AS value FROM grid g LEFT JOIN o USING (r, c) LEFT JOIN a USING (r, c) LEFT JOIN b USING (r, c) WHERE coalesce(o.z, a.z, b.z) IS NOT NULL""")
+def mosaic_priority(spark, d):
+    source = lambda df, resolution, path: df.select("row", "col", "value", F.lit(resolution).alias("resolution"), F.lit(path).alias("path"))
+    one = X.coarse(spark).filter("row >= 100 AND col < 60").withColumn("value", F.lit(7))
+    parts = source(X.dem(spark, d).filter("row < 80"), "10m", "b.tif").unionByName(source(X.coarse(spark).filter("col >= 40"), "10m", "a.tif")).unionByName(source(one, "1m", "z.tif"))
+    return resample.mosaic(parts, NONE + 9, ["path"])
+
+
+@query("""CTE a AS (SELECT 45 AS la, -110 AS lo, r, c, z FROM dem UNION ALL SELECT 45, -109, r, c, z FROM coarse), p AS (SELECT r - 30 AS row, c + (lo + 110) * 120 - 60 AS col, z FROM a WHERE z > -99980)
+SELECT CAST(row AS INT) AS row, CAST(col AS INT) AS col, z AS value FROM p WHERE row BETWEEN 0 AND 59 AND col BETWEEN 0 AND 119""")
+def mosaic_area(spark, d):
+    tile = lambda df, name: df.select(F.lit(name).alias("tile_id"), F.lit("10m").alias("resolution"), "row", "col", "value")
+    tiles = tile(X.dem(spark, d), "N45W110").unionByName(tile(X.coarse(spark), "N45W109"))
+    return pipelines.build_mosaic(tiles, 45.25, -109.5, 45.75, -108.5, rasters.workspace(spark, "mosaic"), S, buffer_deg=0.1, nodata=NONE + 9)
+
+
+TARGET = resample.Grid(0.125, 119.875, 0.75, 0.75, 150, 150)
+SOURCE = resample.Grid(0.0, 120.0, 1.0, 1.0, S, S)
+PLACES = """o AS (SELECT CAST(r AS INT) AS row, CAST(c AS INT) AS col, (r + 0.5) * 0.75 + 0.125 AS y, (c + 0.5) * 0.75 + 0.125 AS x FROM range(0, {0}) AS a(r), range(0, {0}) AS b(c))"""
+BILINEAR = """n AS (SELECT row, col, y, x, CAST(floor(y - 0.5) AS INT) + i AS r, CAST(floor(x - 0.5) AS INT) + j AS c FROM o, range(2) AS a(i), range(2) AS b(j)),
+w AS (SELECT row, col, z, (1 - abs(y - 0.5 - n.r))::DOUBLE * (1 - abs(x - 0.5 - n.c))::DOUBLE AS w FROM n JOIN {0} USING (r, c) WHERE z > -99980)"""
+
+
+@query(f"CTE {PLACES.format(150)}, {BILINEAR.format('dem')} SELECT row, col, sum(w * z) / sum(w) AS value FROM w WHERE w > 0 GROUP BY row, col")
+def reproject_bilinear(spark, d):
+    return resample.reproject_bilinear(X.dem(spark, d), SOURCE, TARGET, F.when(F.col("value") > NONE + 10, F.col("value")))
+
+
+@query(f"CTE {PLACES.format(150)} SELECT row, col, z AS value FROM o JOIN dem ON r = CAST(floor(y) AS INT) AND c = CAST(floor(x) AS INT)")
+def grid_snap(spark, d):
+    return resample.reproject_nearest(X.dem(spark, d), SOURCE, TARGET)
+
+
+@query(f"""CTE {PLACES.format(100).replace('+ 0.125 AS', '+ 0.125 + 10 AS')}, q AS (SELECT a.r, a.c, CASE WHEN a.z <= -99980 OR a.z = 0 THEN b.z ELSE a.z END AS z FROM dem a JOIN coarse b USING (r, c) WHERE r BETWEEN 10 AND 85 AND c BETWEEN 10 AND 85), {BILINEAR.format('q')},
+v AS (SELECT row, col, sum(w * z) / sum(w) AS value FROM w WHERE w > 0 GROUP BY row, col) SELECT row, col, value, CASE WHEN z <= -99980 OR z = 0 THEN 1 ELSE 0 END AS gap FROM v JOIN o USING (row, col) JOIN dem ON r = CAST(floor(y) AS INT) AND c = CAST(floor(x) AS INT)""")
+def canonical_fill(spark, d):
+    dem, gaps = resample.canonical(X.dem(spark, d).withColumn("value", F.col("value").cast("double")), SOURCE, resample.Grid(10.125, 109.875, 0.75, 0.75, 100, 100), X.coarse(spark).withColumn("value", F.col("value").cast("double")), NONE + 9)
+    return dem.join(gaps, ["row", "col"])
+
+
+@query("SELECT label, count(*) AS pixel_count, min(r) AS min_row, max(r) AS max_row, min(c) AS min_col, max(c) AS max_col FROM labels_ GROUP BY label")
+def label_boxes(spark, d):
+    return water.boxes(pond_cells(spark, d))
+
+
+@query("SELECT coalesce(quantile_cont(z::DOUBLE, 0.1) FILTER (z > -10000), 0) AS surface, count(*) FILTER (z > -10000) AS n FROM labels_ JOIN dem USING (r, c)")
+def masked_percentile(spark, d):
+    return water.masked_percentile(X.dem(spark, d), pond_cells(spark, d), 0.1, F.col("value") > -1000 * U)
+
+
+@query("CTE band AS (SELECT DISTINCT l.r + i AS r, l.c + j AS c FROM labels_ l, range(-2, 3) AS a(i), range(-2, 3) AS b(j) WHERE abs(i) + abs(j) <= 2) SELECT coalesce(quantile_cont(z::DOUBLE, 0.1), 0) AS surface, count(*) AS n FROM (SELECT * FROM band ANTI JOIN labels_ USING (r, c)) JOIN dem USING (r, c) WHERE z > -10000 AND z < 90000")
+def shoreline_sample(spark, d):
+    return water.sample_shoreline(X.dem(spark, d), pond_cells(spark, d), S, S, 2, 0.1, U)
+
+
+@query(f"CTE {DIAG} SELECT pid, sd > 50 OR most - least > 200 AS flagged, cx + 0.0625 + hw > 100 OR cy + hh > 100 AS cross_tile, CASE WHEN sd > 50 THEN 'std' WHEN most - least > 200 THEN printf('range %.1f above %.1f', (most - least) / 10, 20.0::DOUBLE) END AS said FROM v JOIN ponds USING (pid)")
+def water_cross_tile(spark, d):
+    still = vector.still_water(X.ponds(spark, d))
+    got = water.diagnostics(X.dem(spark, d), vector.rasterize(vector.edges(still), S, S), U, NONE + 9, polygons=still, height=100, width=100)
+    return got.select("pid", "flagged", "cross_tile", F.when(F.col("reason") == "std", "std").otherwise(F.col("text")).alias("said"))
+
+
+TILED = f"""band AS (SELECT t, r + i AS r, c + j AS c, max(label) AS label FROM tlabels, range(-3, 4) AS a(i), range(-3, 4) AS b(j) WHERE r + i BETWEEN 0 AND {X.PART - 1} AND c + j BETWEEN 0 AND {X.PART - 1} GROUP BY 1, 2, 3),
+shore AS (SELECT t, label, quantile_cont(z::DOUBLE, 0.1) AS edge FROM (SELECT * FROM band ANTI JOIN tlabels USING (t, r, c)) JOIN tdem USING (t, r, c) GROUP BY t, label),
+body AS (SELECT t, label, count(*) AS n, avg(z) AS mean, quantile_cont(z::DOUBLE, 0.1) AS own FROM tlabels JOIN tdem USING (t, r, c) GROUP BY t, label),
+j AS (SELECT t, label, n AS pixel_count, coalesce(edge, own) AS surface, CASE WHEN n < 12 THEN 'too_small' WHEN abs(coalesce(edge, own) - mean) > 100 THEN 'flagged' ELSE 'corrected' END AS status FROM body LEFT JOIN shore USING (t, label))"""
+
+
+@query(f"CTE {TILED} SELECT d.t, d.r AS row, d.c AS col, round(CASE WHEN status = 'corrected' THEN surface ELSE z::DOUBLE END, 3) AS value FROM tdem d LEFT JOIN tlabels l ON d.t = l.t AND d.r = l.r AND d.c = l.c LEFT JOIN j ON l.t = j.t AND l.label = j.label")
+def batch_corrected(spark, d):
+    got, _ = pipelines.correct_keyed(X.tile_dem(spark, d), X.tile_ponds(spark, d), X.PART, X.PART, ("t",), U)
+    return got.withColumn("value", F.round("value", 3))
+
+
+@query(f"""CTE {TILED}, s AS (SELECT t, count(*) AS n, count(*) FILTER (status = 'too_small') AS too_small, count(*) FILTER (status = 'flagged') AS flagged, count(*) FILTER (status = 'corrected') AS corrected FROM j GROUP BY t)
+SELECT CAST(t AS VARCHAR) AS tile_id, p.n AS polygons, p.n - coalesce(s.n, 0) AS no_pixels, coalesce(too_small, 0) AS too_small, coalesce(flagged, 0) AS flagged, coalesce(corrected, 0) AS corrected FROM (SELECT t, count(*) AS n FROM tponds GROUP BY t) p LEFT JOIN s USING (t)""")
+def batch_summary(spark, d):
+    named = lambda df: df.withColumn("tile_id", F.col("t").cast("string")).drop("t")
+    dem, ponds = named(X.tile_dem(spark, d)), named(X.tile_ponds(spark, d))
+    _, found = pipelines.correct_keyed(dem, ponds, X.PART, X.PART, unit=U)
+    return pipelines.keyed_summary(dem.select("tile_id").distinct(), found, ponds).select("tile_id", "polygons", "no_pixels", "too_small", "flagged", "corrected")
+
+
+@query("""CTE f AS (SELECT * FROM log QUALIFY row_number() OVER (PARTITION BY lat_floor, lng_floor ORDER BY ts DESC, ev_id DESC) = 1), k AS (SELECT lat_floor, lng_floor, arg_max(size_mb, (ts, ev_id)) FILTER (status = 'ready') AS size_mb FROM log GROUP BY 1, 2)
+SELECT lat_floor, lng_floor, status, k.size_mb, CASE WHEN status = 'failed' THEN 'event ' || ev_id END AS failed_reason FROM f JOIN k USING (lat_floor, lng_floor)""")
+def registry_marks(spark, d):
+    log = X.log(spark, d)
+    size, reason = F.when(F.col("status") == "ready", F.col("size_mb")), F.when(F.col("status") == "failed", F.concat(F.lit("event "), F.col("ev_id")))
+    parts = [registry.mark(log.filter(F.col("status") == s).select("lat_floor", "lng_floor", "ev_id", F.col("ts").alias("at"), size.alias("mb"), reason.alias("why")), s, F.col("at"), size_mb=F.col("mb"), failed_reason=F.col("why")) for s in ("pending", "ready", "failed")]
+    marks = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    got = registry.latest(marks.drop("at", "mb", "why"), ["lat_floor", "lng_floor"], ["ts", "ev_id"], ["size_mb"])
+    return got.select("lat_floor", "lng_floor", "status", "size_mb", "failed_reason")
+
+
+@query(f"SELECT {TID} AS tile_id, status, CAST(size_mb AS DOUBLE) AS size_mb FROM state WHERE status <> 'pending'")
+def registry_file(spark, d):
+    path = rasters.workspace(spark, "registry") + "/registry.json"
+    rows = state(spark, d).select(T.tile_id(F.col("lat_floor"), F.col("lng_floor")).alias("tile_id"), "status", F.col("size_mb").cast("double").alias("size_mb"))
+    rasters.replace_text(spark, path, rasters.registry_json(rows, "2026-01-01T00:00:00Z"))
+    rasters.update_registry(spark, path, lambda s: s.filter("status <> 'pending'"), "2026-01-02T00:00:00Z")
+    return rasters.read_registry(spark, path).select("tile_id", "status", "size_mb")
+
+
+def written_tiffs(spark, d) -> str:
+    folder = rasters.workspace(spark, "tiffs")
+    rasters.write_tiffs(X.dem(spark, d).withColumn("tile_id", F.lit("N45W110")), folder, S, tile=32)
+    return folder
+
+
+@query("SELECT r AS row, c AS col, z AS value FROM dem")
+def geotiff_roundtrip(spark, d):
+    return rasters.read_tiffs(spark, written_tiffs(spark, d)).select("row", "col", F.col("value").cast("int").alias("value"))
+
+
+@query("SELECT 120 AS width, 120 AS height, -110.0::DOUBLE AS west, 45.0::DOUBLE AS south, -109.0::DOUBLE AS east, 46.0::DOUBLE AS north, 'EPSG:4326' AS crs, -9999.0::DOUBLE AS nodata, true AS readable", fixtures=False)
+def geotiff_headers(spark, d):
+    got = rasters.read_headers(spark, written_tiffs(spark, d))
+    return got.select("width", "height", *[F.round(c, 9).alias(c) for c in ("west", "south", "east", "north")], "crs", "nodata", "readable")
+
+
+@query("SELECT r AS row, c AS col, z AS value FROM dem WHERE r BETWEEN 30 AND 59 AND c BETWEEN 50 AND 69")
+def raster_window_scan(spark, d):
+    path = rasters.workspace(spark, "pixels")
+    rasters.write_pixels(X.dem(spark, d).withColumn("tile_id", F.lit("N45W110")), path)
+    return rasters.read_pixels(spark, path, ["N45W110"], (30, 60, 50, 70)).select("row", "col", "value")
+
+
+@query("SELECT CAST(pid AS BIGINT) AS id, name, CASE WHEN pid % 4 = 0 THEN NULL ELSE 'water' END AS natural, CASE WHEN is_rect = 1 THEN 5 ELSE 4 END AS points FROM ponds WHERE pid % 5 <> 2")
+def osm_water(spark, d):
+    p = X.ponds(spark, d)
+    # Every fifth has two points only; rings of four corners are closed, those of three get their first again.
+    ring = F.when(F.col("pid") % 5 == 2, F.slice(F.col("rings")[0], 1, 2)).when(F.col("is_rect") == 1, F.col("rings")[0]).otherwise(F.slice(F.col("rings")[0], 1, 3))
+    tags = F.when(F.col("pid") % 4 == 0, F.create_map(F.lit("landuse"), F.lit("reservoir"), F.lit("name"), F.col("name"))).otherwise(F.create_map(F.lit("natural"), F.lit("water"), F.lit("name"), F.col("name")))
+    element = F.struct(F.col("pid").cast("long").alias("id"), F.lit("way").alias("type"), tags.alias("tags"), F.transform(ring, lambda x: F.struct(x[1].alias("lat"), x[0].alias("lon"))).alias("geometry"))
+    raw = p.select(F.to_json(F.struct(F.array(element).alias("elements"))).alias("value"))
+    return rasters.overpass_water(raw).select("id", "name", "natural", F.size(F.col("rings")[0]).alias("points"))
+
+
+@query("SELECT * FROM (VALUES (0, 'A', 390, 4), (1, 'B', NULL, 5)) AS v(i, name, ftype, points)", fixtures=False)
+def water_file(spark, d):
+    feature = lambda ring, name, kind: '{"type":"Feature","geometry":{"type":"Polygon","coordinates":[' + ring + ']},"properties":{"Name":"' + name + '"' + kind + "}}"
+    text = '{"type":"FeatureCollection","features":[' + feature("[[0,0],[1,0],[1,1],[0,0]]", "A", ',"FType":"390"') + "," + feature("[[0,0],[2,0],[2,2],[0,2],[0,0]]", "B", "") + ',{"type":"Feature","geometry":null,"properties":{}}]}'
+    path = rasters.workspace(spark, "features") + "/water.geojson"
+    rasters.replace_text(spark, path, text)
+    return vector.parse_features(rasters.read_features(spark, path)).select("i", "name", "ftype", F.size(F.col("rings")[0]).alias("points"))
+
+
+@query("SELECT sha256('gridmill') AS sha256, CAST(1 AS BIGINT) AS files, 8 / 1048576.0::DOUBLE AS mb", fixtures=False)
+def file_digests(spark, d):
+    folder = rasters.workspace(spark, "file")
+    rasters.replace_text(spark, f"{folder}/a.tif", "gridmill")
+    return rasters.digests(spark, folder, "*.tif").select("sha256").crossJoin(rasters.directory_mb(rasters.list_files(spark, folder)))
+
+
+@query("SELECT a.r AS row, a.c AS col, CASE WHEN a.z <= -99980 OR a.z = 0 THEN b.z ELSE a.z END AS value FROM dem a JOIN coarse b ON a.r = b.r AND a.c = b.c")
+def repaired_dem(spark, d):
+    path = rasters.workspace(spark, "repair")
+    X.dem(spark, d).write.parquet(path)
+    pipelines.repair_stored(spark, path, lambda: X.coarse(spark), S, S, nodata=NONE + 9)
+    return spark.read.parquet(path)
+
+
+@query("SELECT pid, name FROM ponds ORDER BY pid LIMIT 20")
+def correction_preview(spark, d):
+    return pipelines.preview(X.ponds(spark, d))[1].select("pid", "name")
+
+
+@query("SELECT name, 'raw/' || name || '.tif' AS raw_path, CASE WHEN pid % 3 = 0 THEN 'out/' || name || '_corrected.tif' END AS corrected_path, pid % 3 = 0 AS corrected FROM (SELECT pid, replace(name, '#', '') AS name FROM ponds)")
+def tile_index(spark, d):
+    name = X.ponds(spark, d).select("pid", F.replace("name", F.lit("#"), F.lit("")).alias("name"))
+    raw = name.select(F.concat(F.lit("raw/"), "name", F.lit(".tif")).alias("path"))
+    done = name.filter("pid % 3 = 0").select(F.concat(F.lit("out/"), "name", F.lit("_corrected.tif")).alias("path"))
+    return pipelines.tile_index(raw, done)
+
+
+@query("CTE q AS (SELECT pid, row_number() OVER (ORDER BY cy, cx, pid) - 1 AS n, count(*) OVER () AS many FROM ponds) SELECT pid, CAST(n // greatest(1, CAST(ceil(many / 7.0) AS BIGINT)) AS INT) AS chunk FROM q")
+def chunk_numbers(spark, d):
+    return vector.chunks(X.ponds(spark, d), 7, ["cy", "cx", "pid"]).select("pid", "chunk")
+
+
+@query(f"SELECT {TID} AS tile_id, '10m,30m' AS candidates, 'planned' AS status FROM range(44, 47) AS a(lat_floor), range(-113, -108) AS b(lng_floor)", fixtures=False)
+def study_area_plan(spark, d):
+    got = pipelines.download_study_area(spark, "area", "N44W113", "N46W109", "", dry_run=True)
+    return got.select("tile_id", F.array_join("candidates", ",").alias("candidates"), "status")
+
+
+@query(f"CTE {PAD}, h AS (SELECT *, lag(flat, 1, 0) OVER (PARTITION BY r ORDER BY c) AS a, lead(flat, 1, 0) OVER (PARTITION BY r ORDER BY c) AS b, lag(flat, 1, 0) OVER (PARTITION BY c ORDER BY r) AS e, lead(flat, 1, 0) OVER (PARTITION BY c ORDER BY r) AS f FROM fl), k AS (SELECT CAST(sum(flat) AS BIGINT) AS f, count(*) FILTER (flat = 1 AND least(a, b, e, f) = 0) AS b FROM h), v AS (SELECT count(*) FILTER (z <= -99980 OR z = 0) AS v FROM dem) SELECT panel, round(100.0 * n / 14400, 2)::DOUBLE AS pct, n FROM (SELECT 'void' AS panel, v AS n FROM v UNION ALL SELECT 'flat', f FROM k UNION ALL SELECT 'boundary', b FROM k)")
+def report_panels(spark, d):
+    dem = X.dem(spark, d)
+    panels = pipelines.report(dem, focal.boundary_mask(flat(spark, d)), nodata=NONE + 9)
+    one = lambda k: panels[k].select(F.lit(k).alias("panel"), "pct", "n")
+    return one("void").unionByName(one("flat")).unionByName(one("boundary"))
+
+
+@query("SELECT 'N45W110' AS tile_id, 'ready' AS status, true AS built, true AS skipped", fixtures=False)
+def registered_build(spark, d):
+    # A steep and a flat half, so that the gates hold; built once, then skipped.
+    root, size = rasters.workspace(spark, "root"), 40
+    steep = spark.range(size * size).select(F.floor(F.col("id") / size).cast("int").alias("row"), (F.col("id") % size).cast("int").alias("col"))
+    steep = steep.withColumn("value", F.when(F.col("row") < 20, 500.0 + (F.col("row") * 37 + F.col("col") * 91) % 83).otherwise(500.0))
+    run = lambda: pipelines.build_registered(spark, root, "N45W110", lambda out: pipelines.build_tile(spark, "N45W110", steep, out, size, size), "2026-01-01T00:00:00Z")
+    first, second = run(), run()
+    got = rasters.read_registry(spark, f"{root}/registry.json").filter("size_mb > 0")
+    return got.select("tile_id", "status", F.lit(first.success).alias("built"), F.lit(second.steps[0].name == "skipped").alias("skipped"))
