@@ -379,7 +379,10 @@ def _merge(solved: DataFrame, length: int) -> DataFrame:
 
 def repeated_runs(rows: DataFrame, length: int) -> DataFrame:
     """(doc_id, th, low, high) byte runs to remove; they may overlap."""
-    drawn = stash(_draw(rows, length), "segments")
+    every = stash(_draw(rows, length), "segments")
+    # Most anchors stand once; only the others' segments go on.  A table of its own, so that hot keys can be split.
+    again = stash(every.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key"), "segment-keys")
+    drawn = stash(every.join(again, "key"), "segments-again")
     alike = drawn.groupBy("key", "s").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "th", "place")).alias("one"))
     alike = stash(alike, "segment-kinds")
     keys = alike.groupBy("key").agg(F.count(F.lit(1)).alias("kinds"), F.max("n").alias("most"))
