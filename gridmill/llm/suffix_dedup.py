@@ -37,6 +37,7 @@ GRAM = 32
 SLICE = 1 << 18  # bytes that are hashed at a time, so that they stay in the cache
 SHARD = 1 << 18  # bytes of a suffix array, which then stays in the processor's cache
 HOT = 1024  # segments of a key in one shard
+MOST = 1000  # equal segments are frequent if they are more than this part of all
 BASE = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
 
@@ -393,7 +394,13 @@ def repeated_runs(rows: DataFrame, length: int) -> DataFrame:
     found = solved.filter("th IS NOT NULL AND low IS NOT NULL").select("doc_id", "th", "low", "high")
     again = solved.filter("s IS NOT NULL").select("key", "s", "low", "high")
     start = _place(F.col("place"))[0]
-    found = found.unionByName(drawn.join(again, ["key", "s"]).select("doc_id", "th", (start + F.col("low")).alias("low"), (start + F.col("high")).alias("high")))
+    # Fewer than MOST kinds of segments can be frequent, and each has one run (all its windows overlap): these go to
+    # every task, the rows of all other kinds are dealt out.
+    often = stash(alike.filter(F.col("n") > max(1, drawn.count() // MOST)).select("key", "s"), "segments-often")
+    rest = drawn.join(F.broadcast(often), ["key", "s"], "left_anti").join(again.join(F.broadcast(often), ["key", "s"], "left_anti"), ["key", "s"])
+    hot = drawn.join(F.broadcast(again.join(F.broadcast(often), ["key", "s"], "left_semi")), ["key", "s"])
+    for part in (rest, hot):
+        found = found.unionByName(part.select("doc_id", "th", (start + F.col("low")).alias("low"), (start + F.col("high")).alias("high")))
     if not solved.filter("prints IS NOT NULL").isEmpty():
         found = found.unionByName(_merge(solved, length))
     return found

@@ -50,6 +50,7 @@ def test_dedup_equals_brute_force(spark, monkeypatch, hot):
     monkeypatch.setattr(sd, "HOT", hot)
     monkeypatch.setattr(sd, "SLICE", 1 << 9 if hot == 4 else 1 << 22)
     monkeypatch.setattr(sd, "SHARD", 1 << 12)
+    monkeypatch.setattr(sd, "MOST", 1000 if hot == 4 else 10)
     texts = corpus(random.Random(hot))
     df = spark.createDataFrame([(i if i else None, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, low string")
     got = {r.doc_id or 0: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in sd.dedup(df).collect()}
