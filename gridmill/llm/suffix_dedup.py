@@ -387,7 +387,7 @@ def repeated_runs(rows: DataFrame, length: int) -> DataFrame:
     alike = drawn.groupBy("key", "s").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "th", "place")).alias("one"))
     alike = stash(alike, "segment-kinds")
     keys = alike.groupBy("key").agg(F.count(F.lit(1)).alias("kinds"), F.max("n").alias("most"))
-    keys = keys.filter("kinds > 1 OR most > 1")
+    keys = stash(keys.filter("kinds > 1 OR most > 1"), "segment-shared")
     salt = F.when(F.col("kinds") > HOT, F.pmod(F.xxhash64("s"), F.ceil(F.col("kinds") / (HOT // 2)))).otherwise(-1).cast("int")
     wanted = alike.join(keys, "key").select("one.doc_id", "one.th", *_place(F.col("one.place")), "key", salt.alias("salt"), "n", "s")
     solved = stash(_shards(_texts(rows, wanted, length), length), "shards")
