@@ -29,7 +29,7 @@ from .shared import fresh
 BUCKETS = 1 << 16
 GRAMS = (2, 3, 4)
 CHAIN = 64
-SLICE = 1000  # documents of a batch that are split at a time
+SLICE = 400  # documents of a batch that are split at a time
 SPAN = 32
 WINDOWS = 6
 STEADY = 1e-6  # change of a message between pieces that no longer counts
