@@ -265,13 +265,15 @@ def compile_lexicon(docs: DataFrame, tokenizer: str, most: int = 50_000) -> byte
             return pa.record_batch([pa.array(total.keys(), pa.string()), pa.array(total.values(), pa.int64())], names=["word", "n"])
 
         for batch in batches:
-            # A batch holds each of its chunks once, whatever its size.
-            split = Split(batch.column(0))
-            for c, n in zip(split.distinct, split.counts().tolist(), strict=True):
-                seen[c] += n
-            if len(seen) > 150_000:
-                yield out()
-            release()
+            for lo in range(0, batch.num_rows, 4000):
+                # A slice holds each of its chunks once, whatever its size.
+                split = Split(batch.column(0).slice(lo, 4000))
+                for c, n in zip(split.distinct, split.counts().tolist(), strict=True):
+                    seen[c] += n
+                del split
+                if len(seen) > 150_000:
+                    yield out()
+                release()
         yield out()
         release()
 
