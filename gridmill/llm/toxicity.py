@@ -26,6 +26,7 @@ from .chunks import Split, chunks
 from .shared import stash
 
 EXCESS = 3.0  # times its expected count that a word or pair must exceed to be evidence
+HELD = 500_000  # predecessors and words that a counting task holds before it sends them
 
 
 def word_of(chunk: str) -> str:
@@ -176,38 +177,69 @@ def score(docs: DataFrame, labels: DataFrame, most_labels: int = 20_000) -> Data
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
-def _models(rows: DataFrame, told) -> Models:
-    """Count predecessors in the labelled sample and words and pairs in all of ``rows``; see :class:`Models`."""
+def _evidence(rows: DataFrame, told) -> DataFrame:
+    """(head, word, f0, f1, corpus): the predecessors of each pair in each class; head null: a word of the corpus.
+
+    A task holds what it has seen and sends each pair once for many documents, with all words before it as
+    one text; pairs stay where this one exchange put them, so no other carries predecessors.
+    """
 
     def count(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         train, _ = told.value
+        found: tuple[set, set] = (set(), set())
+        total: Counter = Counter()
+
+        def out():
+            for kind in (0, 1):
+                far: dict[str, list] = {}
+                for u, v, w in found[kind]:
+                    far.setdefault(f"{v} {w}", []).append(u)
+                found[kind].clear()
+                keys = sorted(far)
+                yield keys, [" ".join(far[k]) for k in keys], kind, [1] * len(keys)
+            keys = sorted(total)
+            yield keys, [None] * len(keys), 2, [total[k] for k in keys]
+            total.clear()
+
+        def packed() -> Iterator:
+            for keys, far, kind, n in out():
+                for lo in range(0, len(keys), 50_000):
+                    at = slice(lo, lo + 50_000)
+                    yield pa.record_batch([pa.array(keys[at], pa.string()), pa.array(far[at], pa.string()), pa.array([kind] * len(keys[at]), pa.int32()), pa.array(n[at], pa.int64())], names=["key", "far", "kind", "n"])
+
         for batch in batches:
-            split = Split(batch.column(1))
-            found: tuple[set, set] = (set(), set())
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if doc in train:
-                    words = ["", "", *map(word_of, chunks(text))]
-                    found[train[doc]].update(zip(words, words[1:], words[2:]))  # noqa: B905
-            total: Counter = Counter()
-            for c, n in zip(split.distinct, split.counts().tolist(), strict=True):
-                if n:
-                    total[word_of(c)] += n
-            both = [*found[0], *found[1]]
-            none = [None] * len(total)
-            cols = [[t[k] for t in both] + (list(total) if k == 2 else none) for k in range(3)]
-            kind = np.repeat([0, 1, 2], [len(found[0]), len(found[1]), len(total)]).astype(np.int32)
-            yield pa.record_batch([*(pa.array(c, pa.string()) for c in cols), pa.array(kind), pa.array([*[1] * len(both), *total.values()], pa.int64())], names=["far", "head", "word", "kind", "n"])
-
-    counted = rows.mapInArrow(count, "far string, head string, word string, kind int, n long")
-    counts = stash(counted.groupBy("far", "head", "word", "kind").agg(F.sum("n").alias("n")), "toxic-counts")
-    of = lambda k, what: F.coalesce(F.sum(F.when(F.col("kind") == k, F.col(what))), F.lit(0)).alias(f"f{k}")
-    pairs = counts.filter("kind < 2").groupBy("head", "word", "kind").agg(F.count(F.lit(1)).alias("f"))
-    pairs = stash(pairs.groupBy("head", "word").agg(of(0, "f"), of(1, "f")), "toxic-pairs")
-    single = pairs.select("word", (F.col("f0") > 0).cast("long").alias("f0"), (F.col("f1") > 0).cast("long").alias("f1"), F.lit(0).cast("long").alias("corpus"))
-    every = single.unionByName(counts.filter("kind = 2").select("word", F.lit(0).cast("long").alias("f0"), F.lit(0).cast("long").alias("f1"), F.col("n").alias("corpus")))
-    words = stash(every.groupBy("word").agg(*[F.sum(c).alias(c) for c in ("f0", "f1", "corpus")]), "toxic-words")
+            for lo in range(0, batch.num_rows, 1500):
+                piece = batch.slice(lo, 1500)
+                split = Split(piece.column(1))
+                for doc, text in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist(), strict=True):
+                    if doc in train:
+                        words = ["", "", *map(word_of, chunks(text))]
+                        found[train[doc]].update(zip(words, words[1:], words[2:]))  # noqa: B905
+                for c, n in zip(split.distinct, split.counts().tolist(), strict=True):
+                    if n:
+                        total[word_of(c)] += n
+                if len(found[0]) + len(found[1]) + len(total) > HELD:
+                    yield from packed()
+        yield from packed()
+
+    # Words have no blanks, so a key with one is a pair; the key alone decides where all that counts it goes.
+    sent = rows.mapInArrow(count, "key string, far string, kind int, n long").repartition("key")
+    each = sent.select("key", "kind", "n", F.explode_outer(F.split("far", " ")).alias("far"))
+    each = each.groupBy("key", "far", "kind").agg(F.sum("n").alias("n"))
+    of = lambda k: F.count_if(F.col("kind") == k).alias(f"f{k}")
+    got = each.groupBy("key").agg(of(0), of(1), F.coalesce(F.sum(F.when(F.col("kind") == 2, F.col("n"))), F.lit(0)).alias("corpus"))
+    pair = F.instr("key", " ") > 0
+    return got.select(F.when(pair, F.substring_index("key", " ", 1)).alias("head"), F.substring_index("key", " ", -1).alias("word"), "f0", "f1", "corpus")
+
+
+def _models(rows: DataFrame, told) -> Models:
+    """Count predecessors in the labelled sample and words and pairs in all of ``rows``; see :class:`Models`."""
+    counts = stash(_evidence(rows, told), "toxic-counts")
+    pairs = counts.filter("head IS NOT NULL").drop("corpus")
+    follows = [F.count_if(F.col("head").isNotNull() & (F.col(f"f{c}") > 0)).alias(f"f{c}") for c in (0, 1)]
+    words = stash(counts.groupBy("word").agg(*follows, F.sum("corpus").alias("corpus")), "toxic-words")
 
     def sums(df: DataFrame):
         parts = [F.coalesce(F.sum(f"f{c}"), F.lit(0)).alias(f"t{c}") for c in (0, 1)]

@@ -481,3 +481,21 @@ def test_pipeline_stages(spark, tmp_path, docs):
     t = Tokenizer.from_file(PATH)
     want = sorted((r.doc_id, t.encode(r.text, add_special_tokens=False).ids) for r in got.collect())
     assert sorted((r.doc_id, r.ids) for r in out.collect()) == want
+
+
+def test_toxicity_sends_predecessors_once(spark):
+    rng = np.random.default_rng(11)
+    rows = [(i, " ".join(f"word{k}" for k in rng.integers(0, 3000, 150))) for i in range(1500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4).cache()
+    df.count()
+    train = {i: i % 2 for i, _ in rows}
+    store = spark._jsc.sc().statusStore()
+
+    def written():
+        stages = store.stageList(None, False, False, spark._sc._gateway.new_array(spark._jvm.double, 0), None)
+        return sum(stages.apply(k).shuffleWriteRecords() for k in range(stages.size()))
+
+    before = written()
+    toxicity._models(df, spark.sparkContext.broadcast((train, {})))
+    # Each of the 225,000 predecessors went through two exchanges.
+    assert written() - before < 1.3 * 1500 * 150
