@@ -18,10 +18,18 @@ from .vector import reaches_out
 Keys = Sequence[str]
 
 
+def exchanged(pixels: DataFrame) -> DataFrame:
+    """``pixels`` for a join that sends both sides to the tasks, never one of them through the driver.
+
+    Exploded rasters and compressed cells have far more rows than their estimated size says.
+    """
+    return pixels.hint("merge")
+
+
 def shoreline(cells: DataFrame, buffer: int, height: int, width: int, keys: Keys = ()) -> DataFrame:
     """Cells within ``buffer`` of a body that are no water: (keys, row, col, label), the greatest label wins."""
     band = dilate_square(cells, buffer, height, width, keys=keys)
-    return band.join(cells.select(*keys, "row", "col"), [*keys, "row", "col"], "left_anti")
+    return band.join(exchanged(cells.select(*keys, "row", "col")), [*keys, "row", "col"], "left_anti")
 
 
 def measure(dem: DataFrame, cells: DataFrame, height: int, width: int, buffer: int = 3, percentile: float = 0.1, unit: int = 1, keys: Keys = ()) -> DataFrame:
@@ -30,7 +38,7 @@ def measure(dem: DataFrame, cells: DataFrame, height: int, width: int, buffer: i
     The surface is the percentile of valid shoreline values, or of the body's own where it has no
     shoreline; standard deviations are of the population, 0 for a single value.
     """
-    z = dem.select(*keys, "row", "col", F.col("value").cast("double").alias("v"))
+    z = exchanged(dem.select(*keys, "row", "col", F.col("value").cast("double").alias("v")))
     inside = cells.join(z, [*keys, "row", "col"])
     ok = F.when(F.col("v") > -1000 * unit, F.col("v"))
     body = inside.groupBy(*keys, "label").agg(
@@ -39,7 +47,7 @@ def measure(dem: DataFrame, cells: DataFrame, height: int, width: int, buffer: i
     )
     ring = shoreline(cells, buffer, height, width, keys).join(z, [*keys, "row", "col"]).filter(R.is_shore_sample(F.col("v"), unit))
     shore = ring.groupBy(*keys, "label").agg(F.percentile("v", F.lit(percentile)).alias("edge"), F.stddev_pop("v").alias("edge_std"), F.count(F.lit(1)).alias("n_shore"))
-    got = body.join(shore, [*keys, "label"], "left")
+    got = body.join(exchanged(shore), [*keys, "label"], "left")
     return got.select(*keys, "label", "pixel_count", F.coalesce("edge", "own").alias("surface"), "orig_mean", "water_std", F.coalesce("edge_std", "water_std").alias("shore_std"), F.coalesce("n_shore", F.lit(0)).alias("n_shore"))
 
 

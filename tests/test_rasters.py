@@ -407,3 +407,16 @@ def test_access_stream(spark, tmp_path):
     q.awaitTermination(60)
     got = {str(r.start)[11:16]: r.n for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert got.get("00:00") == 2 and got.get("00:05") == 1
+
+
+def exploded_tiles(spark):
+    """(dem, cells) of two tiles whose pixels come from generators: their estimated size is tiny."""
+    dem = spark.range(2).selectExpr("id AS t", "explode(sequence(0, 19)) AS row").selectExpr("t", "row", "explode(sequence(0, 19)) AS col").withColumn("value", F.col("row") + F.col("t"))
+    return dem, dem.filter("row BETWEEN 5 AND 9 AND col BETWEEN 5 AND 9").select("t", "row", "col", F.lit(1).alias("label"))
+
+
+def test_measuring_broadcasts_no_pixels(spark):
+    dem, cells = exploded_tiles(spark)
+    got = water.measure(dem, cells, 20, 20, keys=("t",))
+    assert "Broadcast" not in got._jdf.queryExecution().sparkPlan().toString()
+    assert sorted((r.t, r.pixel_count, r.n_shore, r.orig_mean) for r in got.collect()) == [(t, 25, 96, 7.0 + t) for t in (0, 1)]
