@@ -499,3 +499,38 @@ def test_toxicity_sends_predecessors_once(spark):
     toxicity._models(df, spark.sparkContext.broadcast((train, {})))
     # Each of the 225,000 predecessors went through two exchanges.
     assert written() - before < 1.3 * 1500 * 150
+
+
+@pytest.mark.parametrize("most", [3, 150, 40_000, 1 << 30, 1 << 40])
+def test_topk_is_exact_for_integers_of_any_size(most):
+    rng = np.random.default_rng(most % 97)
+    x = rng.integers(-most, most, (300, 6), endpoint=True)
+    ids, queries = rng.permutation(300), np.concatenate((x[:20], np.zeros((1, 6), np.int64)))
+    asked = np.concatenate((ids[:20], [999]))
+    for floor in (None, np.full(21, -np.inf), np.array([sorted((sum(map(int.__mul__, w.tolist(), v.tolist())) for i, v in zip(ids, x, strict=True) if i != a), reverse=True)[4] for a, w in zip(asked, queries, strict=True)], float)):
+        got = topk.block_top(ids, x, asked, queries, 5, floor, first=1 if floor is None else 4)[0]
+        want = []
+        for a, w in zip(asked.tolist(), queries, strict=True):
+            best = sorted((-sum(map(int.__mul__, w.tolist(), v.tolist())), i) for i, v in zip(ids.tolist(), x, strict=True) if i != a)[:5]
+            want += [(a, i, -s) for s, i in best]
+        assert sorted(got) == sorted(want)
+
+
+def test_topk_reads_a_block_in_little_more_than_its_products():
+    import time
+
+    rng = np.random.default_rng(6)
+    x = np.floor(32 * rng.normal(size=(9216, 64))).astype(np.int64)
+    ids, asked, queries = np.arange(9216), np.arange(20_000, 20_512), x[:512] + 1
+    lists = rng.permutation(9216).reshape(9, 1024)
+    floor = np.sort(queries.astype(float) @ x.T, axis=1)[:, -5]
+
+    def seconds(f):
+        t = time.process_time()
+        for at in lists[1:]:
+            f(at)
+        return time.process_time() - t
+
+    plain = min(seconds(lambda at: np.partition(queries.astype(float) @ x[at].T.astype(float), 1019, axis=1)) for _ in range(3))
+    own = min(seconds(lambda at: topk.block_top(ids[at], x[at], asked, queries, 5, floor)) for _ in range(3))
+    assert own < 8 * plain
